@@ -111,6 +111,29 @@ def apply_merges(word: Column, rules: Sequence[str]) -> Column:
     )
 
 
+def pair_list_sql(word: str) -> str:
+    """`pair_list` as SQL text."""
+    return f"regexp_extract_all({word}, '(?s)(?=(..)).', 1)"
+
+
+def fold_sql(word: str, rules: Sequence[str]) -> str:
+    """`apply_merges` as SQL text for a few rules.
+
+    The rules are one constant, so the code Spark generates is the same whatever they are and
+    stays compiled from round to round. Hex keeps symbols clear of quoting.
+    """
+    if not rules:
+        return word
+
+    def literal(symbols: str) -> str:
+        return f"decode(X'{symbols.encode('utf-8').hex()}', 'UTF-8')"
+
+    steps = ", ".join(
+        f"named_struct('pair', {literal(rule[:2])}, 'symbol', {literal(rule[2])})" for rule in rules
+    )
+    return f"aggregate(array({steps}), {word}, (w, m) -> replace(w, m.pair, m.symbol))"
+
+
 def delimited_hex(word: Column, table: SymbolTable) -> Column:
     """Readable form `|74|68|65|`: hex of each symbol between bars."""
     symbols = F.transform(symbol_list(word), lambda s: symbol_hex(s, table))

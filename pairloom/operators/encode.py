@@ -28,7 +28,7 @@ from pairloom.functions.symbols import (
 from pairloom.functions.text import clean_specials, pretokens
 
 # Longest merge list that runs as Spark expressions; measured, see README.
-EXPRESSION_MERGES = 12
+EXPRESSION_MERGES = 48
 LONG_WORD = 1000
 MEMO_ENTRIES = 1 << 20
 
@@ -97,12 +97,6 @@ def _arrow_ids(rules: Sequence[str], ids_of: Mapping[str, Sequence[int]], specia
     return encoded
 
 
-def _int_array(values: Sequence[int]) -> Column:
-    if not values:
-        return F.array().cast("array<int>")
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
-
-
 class Encoder:
     """Merges, ids and specials in the form the expressions need. All of it is vocabulary-sized."""
 
@@ -112,74 +106,70 @@ class Encoder:
         token_ids: Mapping[str, int],
         specials: Sequence[str],
     ):
-        self.specials = clean_specials(specials)
         self.symbols = SymbolTable(merges)
         self.rules = [self.symbols.rule(left, right) for left, right in merges]
-        self.special_ids = {
-            s: [token_ids[h]] if (h := s.encode("utf-8").hex().upper()) in token_ids else []
-            for s in self.specials
-        }
-        self.ids_of = {self.symbols.char(h): self._symbol_ids(h, token_ids) for h in self.symbol_hexes()}
-
-    def symbol_hexes(self) -> list[str]:
-        return [h for h in self.symbols.hex_list() if h]
-
-    @staticmethod
-    def _symbol_ids(token_hex: str, token_ids: Mapping[str, int]) -> list[int]:
-        """The symbol's id, else the ids of its bytes as far as they have one."""
-        if token_hex in token_ids:
-            return [token_ids[token_hex]]
-        parts = (token_hex[i : i + 2] for i in range(0, len(token_hex), 2))
-        return [token_ids[p] for p in parts if p in token_ids]
+        self.specials = {s: token_ids.get(s.encode("utf-8").hex().upper()) for s in clean_specials(specials)}
+        # a symbol has an id, or it is spelled out as those of its bytes that have one
+        self.id_of: dict[str, int] = {}
+        self.spelling: dict[str, str] = {}
+        for token_hex in filter(None, self.symbols.hex_list()):
+            symbol = self.symbols.char(token_hex)
+            if token_hex in token_ids:
+                self.id_of[symbol] = token_ids[token_hex]
+            else:
+                parts = [token_hex[i : i + 2] for i in range(0, len(token_hex), 2)]
+                self.spelling[symbol] = "".join(chr(int(p, 16)) for p in parts if p in token_ids)
 
     def ids(self, text: Column) -> Column:
         """ARRAY<INT> for a text column."""
-        parts = pretokens(text, self.specials)
+        parts = pretokens(text, list(self.specials))
         if len(self.rules) > EXPRESSION_MERGES:
-            return _arrow_ids(self.rules, self.ids_of, self.special_ids)(parts)
+            return self._arrow_ids(parts)
         return self._expression_ids(parts)
 
+    def _arrow_ids(self, parts: Column) -> Column:
+        ids_of = {c: [i] for c, i in self.id_of.items()}
+        ids_of.update((c, [self.id_of[b] for b in spelled]) for c, spelled in self.spelling.items())
+        specials = {s: [] if i is None else [i] for s, i in self.specials.items()}
+        return _arrow_ids(self.rules, ids_of, specials)(parts)
+
     def _expression_ids(self, parts: Column) -> Column:
         """One symbol string for the row: pretokens with a separator between, specials as one
         symbol each. No merge names those symbols, so nothing is merged across them."""
-        table = SymbolTable((left, right) for left, right in ())
-        for h in self.symbol_hexes():
-            table.add(h)
-        # entries that are not hex cannot meet a symbol's bytes
-        marks = [table.add(f"special {i}") for i in range(len(self.specials))]
+        table = SymbolTable()
+        for token_hex in filter(None, self.symbols.hex_list()):
+            table.add(token_hex)
+        # keys that are not hex cannot meet the bytes of a symbol
+        marks = {s: table.add(f"special {i}") for i, s in enumerate(self.specials)}
         separator = table.add("separator")
 
-        def coded(p: Column) -> Column:
-            out = symbol_word(p)
-            for special, mark in zip(self.specials, marks, strict=True):
-                out = F.when(p == special, F.lit(mark)).otherwise(out)
+        def coded(part: Column) -> Column:
+            out = symbol_word(part)
+            for special, mark in marks.items():
+                out = F.when(part == special, F.lit(mark)).otherwise(out)
             return out
 
         word = F.array_join(F.transform(parts, coded), separator)
-        ids_of = dict(self.ids_of)
-        ids_of.update(zip(marks, self.special_ids.values(), strict=True))
-        return self._lookup(apply_merges(word, self.rules), ids_of)
+        id_of, spelling = dict(self.id_of), self.spelling | {separator: ""}
+        for special, mark in marks.items():
+            if self.specials[special] is None:
+                spelling[mark] = ""
+            else:
+                id_of[mark] = self.specials[special]
+        return self._lookup(apply_merges(word, self.rules), id_of, spelling)
 
     @staticmethod
-    def _lookup(word: Column, ids_of: Mapping[str, Sequence[int]]) -> Column:
-        """Each symbol's ids, from three constant arrays indexed by code point."""
-        flat: list[int] = []
-        size = max(map(ord, ids_of)) + 1
-        start, count = [1] * size, [0] * size
-        for symbol, ids in ids_of.items():
-            start[ord(symbol)], count[ord(symbol)] = len(flat) + 1, len(ids)
-            flat += ids
-        flat_c, start_c, count_c = _int_array(flat), _int_array(start), _int_array(count)
-        if not flat:
-            return F.array().cast("array<int>")
-
-        def of(symbol: Column) -> Column:
-            at = F.ascii(symbol)
-            return F.slice(
-                flat_c, F.coalesce(F.get(start_c, at), F.lit(1)), F.coalesce(F.get(count_c, at), F.lit(0))
-            )
-
-        return F.flatten(F.transform(symbol_list(word), of))
+    def _lookup(word: Column, id_of: Mapping[str, int], spelling: Mapping[str, str]) -> Column:
+        """Symbols without an id are spelled out or removed; the rest are looked up by code point."""
+        for symbol, spelled in spelling.items():
+            if spelled:
+                word = F.replace(word, F.lit(symbol), F.lit(spelled))
+        word = F.translate(word, "".join(c for c, spelled in spelling.items() if not spelled), "")
+        ids = [0] * (max(map(ord, id_of), default=0) + 1)
+        for symbol, token_id in id_of.items():
+            ids[ord(symbol)] = token_id
+        table = F.split(F.lit(",".join(map(str, ids))), ",").cast("array<int>")
+        return F.transform(symbol_list(word), lambda symbol: F.get(table, F.ascii(symbol)))
 
     def words(self, counts: DataFrame) -> DataFrame:
         """(pretoken, n, symbols, ids) for distinct pretokens; the merges run once for each."""
@@ -192,10 +182,10 @@ class Encoder:
             "pretoken",
             "n",
             delimited_hex(F.col("folded"), self.symbols).alias("symbols"),
-            self._lookup(F.col("folded"), self.ids_of).alias("ids"),
+            self._lookup(F.col("folded"), self.id_of, self.spelling).alias("ids"),
         )
 
 
-def special_counts(encoded: DataFrame, ids: str, special_id: int) -> Column:
+def special_counts(ids: str, special_id: int) -> Column:
     """How often one id occurs in an id array."""
     return F.size(F.filter(F.col(ids), lambda x: x == special_id))

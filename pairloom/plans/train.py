@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.functions.symbols import SymbolTable, apply_merges, pair_list
+from pairloom.functions.symbols import SymbolTable, fold_sql, pair_list_sql
 from pairloom.functions.text import clean_specials
 from pairloom.operators.pairs import coded_pair_counts, pair_sides
 from pairloom.operators.pretokenize import word_counts
@@ -21,10 +21,11 @@ from pairloom.operators.vocab import build_vocab
 from pairloom.plans.tokenizer import Tokenizer, merge_table
 from pairloom.session import work_dir
 from pairloom.sources import checkpoints
+from pairloom.sources.corpus import spread
 
-TOP_PAIRS = 4096
+TOP_PAIRS = 1024
 MERGES_PER_ROUND = 64
-ROUNDS_PER_BASE = 8
+ROUNDS_PER_BASE = 6
 
 
 def certain_merges(
@@ -88,34 +89,31 @@ class MergeLearner:
     def _stored(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.dir}/{name}-{self.rounds}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path).persist()
+        return spread(self.spark.read.schema(df.schema).parquet(path)).persist()
 
     def words(self) -> DataFrame:
         """(word, cnt) with all merges so far applied."""
-        return self.base_words.select(
-            apply_merges(F.col("word"), self.since_base).alias("word"), "cnt"
-        )
+        return self.base_words.selectExpr(f"{fold_sql('word', self.since_base)} AS word", "cnt")
 
     def pairs(self) -> DataFrame:
         """(pair, n) of those words."""
         if not self.since_base:
             return self.base_pairs
 
-        def counted(word: Column, n: Column) -> Column:
-            return F.transform(pair_list(word), lambda p: F.struct(p.alias("pair"), n.alias("n")))
-
-        def changes(new: Column) -> Column:
-            return F.when(
-                new != F.col("word"),
-                F.concat(counted(new, F.col("cnt")), counted(F.col("word"), -F.col("cnt"))),
-            ).otherwise(F.array().cast("array<struct<pair:string,n:bigint>>"))
-
-        # a one-element transform binds the folded word to a name, so it is computed once
-        folded = F.array(apply_merges(F.col("word"), self.since_base))
-        return (
-            self.base_pairs.unionByName(
-                self.base_words.select(F.inline(F.flatten(F.transform(folded, changes))))
+        # SQL text, because building the same from columns takes longer than the job on small tables
+        changed = (
+            self.base_words.selectExpr("word", "cnt", f"{fold_sql('word', self.since_base)} AS new")
+            .selectExpr(
+                "cnt",
+                "length(new) - 1 AS gained",
+                f"""posexplode(CASE WHEN new <> word
+                    THEN concat({pair_list_sql("new")}, {pair_list_sql("word")})
+                    ELSE cast(array() AS array<string>) END) AS (pos, pair)""",
             )
+            .selectExpr("pair", "CASE WHEN pos < gained THEN cnt ELSE -cnt END AS n")
+        )
+        return (
+            self.base_pairs.unionByName(changed)
             .groupBy("pair")
             .agg(F.sum("n").alias("n"))
             .where("n > 0")

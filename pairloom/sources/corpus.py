@@ -14,7 +14,7 @@ def spread(df: DataFrame) -> DataFrame:
     Only small inputs are affected: a large table has more splits than cores and stays unshuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:

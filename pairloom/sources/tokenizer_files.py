@@ -12,11 +12,13 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairloom.functions.text import clean_specials
 from pairloom.operators.vocab import special_table
 
 NUL = "\0"
+PAIR_TYPE = T.StructType([T.StructField("l", T.StringType()), T.StructField("r", T.StringType())])
 
 
 def byte_characters() -> str:
@@ -46,7 +48,7 @@ def _bytes_hex(value: object) -> str | None:
     return value.hex().upper() if isinstance(value, bytes) else None
 
 
-@F.pandas_udf("struct<l string, r string>")
+@F.pandas_udf(PAIR_TYPE)
 def parse_pair(lines: pd.Series) -> pd.DataFrame:
     """A line such as `(b't', b'h')` to two hex strings; nulls if it is anything else."""
 
@@ -63,7 +65,7 @@ def parse_pair(lines: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse(line) for line in lines], columns=["l", "r"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def parse_bytes(values: pd.Series) -> pd.Series:
     """A literal such as `b'th'` to hex; null if it does not parse."""
 
@@ -76,7 +78,7 @@ def parse_bytes(values: pd.Series) -> pd.Series:
     return values.map(parse)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def bytes_literal(token_hex: pd.Series) -> pd.Series:
     return token_hex.map(lambda h: repr(bytes.fromhex(h)))
 

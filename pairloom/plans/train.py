@@ -73,7 +73,7 @@ class MergeLearner:
     `base_words` and `base_pairs` are tables in the shared folder, kept in memory where there is room.
     A round folds the merges learned since over the base words and adds what changed to the base
     pair counts, all in one job. Every few rounds the result becomes the new base. So plans stay
-    short, and a lost executor costs a read of its part of the base.
+    short, and a lost executor costs a read of its part of the base. Bases take turns in two places.
     """
 
     def __init__(self, words: DataFrame, merges: Sequence[tuple[str, str]] = ()):
@@ -82,13 +82,14 @@ class MergeLearner:
         self.symbols = SymbolTable(self.merges)
         self.dir = work_dir(self.spark, "learn")
         self.rounds = 0
+        self.bases = 0
         self.since_base: list[str] = []
         self.base_words = self._stored(words.select("word", "cnt"), "words")
         self.base_pairs = coded_pair_counts(self.base_words).persist()
 
     def _stored(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.dir}/{name}-{self.rounds}"
-        df.write.parquet(path)
+        path = f"{self.dir}/{name}-{self.bases % 2}"
+        df.write.mode("overwrite").parquet(path)
         return spread(self.spark.read.schema(df.schema).parquet(path)).persist()
 
     def words(self) -> DataFrame:
@@ -100,17 +101,16 @@ class MergeLearner:
         if not self.since_base:
             return self.base_pairs
 
-        # SQL text, because building the same from columns takes longer than the job on small tables
+        # Pairs of the new form, then of the old one; between them lies one pair that counts for
+        # nothing. SQL text, because building it from columns takes longer than a small job.
         changed = (
             self.base_words.selectExpr("word", "cnt", f"{fold_sql('word', self.since_base)} AS new")
             .selectExpr(
                 "cnt",
-                "length(new) - 1 AS gained",
-                f"""posexplode(CASE WHEN new <> word
-                    THEN concat({pair_list_sql("new")}, {pair_list_sql("word")})
-                    ELSE cast(array() AS array<string>) END) AS (pos, pair)""",
+                "length(new) - 1 AS seam",
+                f"posexplode({pair_list_sql("if(new <> word, new || word, '')")}) AS (pos, pair)",
             )
-            .selectExpr("pair", "CASE WHEN pos < gained THEN cnt ELSE -cnt END AS n")
+            .selectExpr("pair", "CASE WHEN pos < seam THEN cnt WHEN pos > seam THEN -cnt ELSE 0 END AS n")
         )
         return (
             self.base_pairs.unionByName(changed)
@@ -138,6 +138,7 @@ class MergeLearner:
 
     def _rebase(self) -> None:
         words, pairs = self.base_words, self.base_pairs
+        self.bases += 1
         new_pairs = self._stored(self.pairs(), "pairs")
         self.base_words = self._stored(self.words(), "words")
         self.base_pairs = new_pairs
@@ -198,6 +199,7 @@ def _finish(
             build_vocab(spark, merges, specials),
             specials,
             merge_count=len(learner.merges),
+            vocab_size=256 + len(specials) + len(learner.merges),
         )
 
     if checkpoint_dir:

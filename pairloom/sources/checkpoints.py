@@ -33,23 +33,24 @@ def write_checkpoint(
     vocab: DataFrame,
     specials: Sequence[str],
     merge_count: int,
+    vocab_size: int,
 ) -> None:
     """Metadata goes last, so a checkpoint that has it is whole."""
     spark = words.sparkSession
     words.write.mode("overwrite").parquet(f"{path}/words")
     write_tables(path, merges, vocab, specials)
-    meta = [(merge_count, vocab.count(), merges.count())]
+    meta = [(merge_count, vocab_size, merge_count)]
     spark.createDataFrame(meta, META_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
 
 def write_tables(path: str, merges: DataFrame, vocab: DataFrame, specials: Sequence[str]) -> None:
     """The tokenizer itself: merges, vocabulary and specials. Nothing is lost, unlike in JSON text."""
-    merges.write.mode("overwrite").parquet(f"{path}/merges")
-    vocab.withColumn("token", F.unhex("token_hex")).write.mode("overwrite").parquet(f"{path}/vocab")
+    merges.coalesce(1).write.mode("overwrite").parquet(f"{path}/merges")
+    vocab.coalesce(1).withColumn("token", F.unhex("token_hex")).write.mode("overwrite").parquet(f"{path}/vocab")
     rows = list(enumerate(specials))
-    merges.sparkSession.createDataFrame(rows, SPECIAL_SCHEMA).write.mode("overwrite").parquet(
-        f"{path}/specials"
-    )
+    merges.sparkSession.createDataFrame(rows, SPECIAL_SCHEMA).coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{path}/specials")
 
 
 def read_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, tuple[str, ...]]:

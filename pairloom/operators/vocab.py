@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pairloom.functions.text import clean_specials
+from pairloom.functions.text import clean_specials, hex_to_text
 
 SPECIAL_SCHEMA = "pos int, special string"
 
@@ -62,7 +62,11 @@ def build_vocab(spark: SparkSession, merges: DataFrame, specials: Sequence[str])
 
 
 def add_specials(vocab: DataFrame, specials: Sequence[str]) -> DataFrame:
-    """The vocabulary plus the specials it lacks, at the ids after its largest."""
+    """The vocabulary plus the specials it lacks, at the ids after its largest.
+
+    One row, the largest id, comes to the driver. The vocabulary is read more than once, so it
+    should be a stored table.
+    """
     if not specials:
         return vocab
     missing = (
@@ -72,13 +76,13 @@ def add_specials(vocab: DataFrame, specials: Sequence[str]) -> DataFrame:
         .withColumn("nth", F.row_number().over(Window.orderBy("pos")))
     )
     top = vocab.agg(
-        F.coalesce(F.max("token_id"), F.lit(-1)).alias("top_id"),
-        F.coalesce(F.max("ins_order"), F.lit(-1)).alias("top_order"),
-    )
-    added = missing.crossJoin(F.broadcast(top)).select(
-        (F.col("top_id") + F.col("nth")).cast("int").alias("token_id"),
+        F.coalesce(F.max("token_id"), F.lit(-1)).alias("token_id"),
+        F.coalesce(F.max("ins_order"), F.lit(-1)).alias("ins_order"),
+    ).first()
+    added = missing.select(
+        (F.col("nth") + top["token_id"]).cast("int").alias("token_id"),
         "token_hex",
-        (F.col("top_order") + F.col("nth")).cast("int").alias("ins_order"),
+        (F.col("nth") + top["ins_order"]).cast("int").alias("ins_order"),
     )
     return vocab.select("token_id", "token_hex", "ins_order").unionByName(added)
 
@@ -90,16 +94,18 @@ def reverse_vocab(vocab: DataFrame) -> DataFrame:
 
 def vocab_stats(vocab: DataFrame, merges: DataFrame) -> DataFrame:
     """One row: entries, different byte strings, merges and longest token."""
-    size = (F.length("token_hex") / 2).cast("int")
-    return vocab.agg(
-        F.count(F.lit(1)).alias("vocab_size"),
-        F.count_distinct("token_hex").alias("distinct_tokens"),
-        F.max(size).alias("longest_token"),
-    ).crossJoin(F.broadcast(merges.agg(F.count(F.lit(1)).alias("num_merges"))))
+    entries = vocab.select("token_hex", F.lit(False).alias("is_merge")).unionByName(
+        merges.select(F.concat("l", "r").alias("token_hex"), F.lit(True).alias("is_merge"))
+    )
+    token = F.when(~F.col("is_merge"), F.col("token_hex"))
+    return entries.agg(
+        F.count(token).alias("vocab_size"),
+        F.count_distinct(token).alias("distinct_tokens"),
+        F.max((F.length(token) / 2).cast("int")).alias("longest_token"),
+        F.count_if("is_merge").alias("num_merges"),
+    )
 
 
 def token_pieces(vocab: DataFrame) -> DataFrame:
     """(token_id, piece): each token shown as text on its own."""
-    from pairloom.functions.text import hex_to_text
-
     return vocab.select("token_id", hex_to_text(F.col("token_hex")).alias("piece"))

@@ -76,11 +76,14 @@ def ranked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranked_pairs(spark, sf_dir).select(
+    """The same as a stored vocabulary."""
+    path = work_dir(spark, "pairs")
+    ranked_pairs(spark, sf_dir).select(
         F.col("rank").alias("token_id"),
         F.concat("l", "r").alias("token_hex"),
         F.col("rank").alias("ins_order"),
-    )
+    ).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def joined(ids: str) -> Column:
@@ -280,7 +283,9 @@ def vocab_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocab_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merges = ranked_pairs(spark, sf_dir)
+    path = work_dir(spark, "pairs")
+    ranked_pairs(spark, sf_dir).write.parquet(path)
+    merges = spark.read.parquet(path)
     return voc.vocab_stats(voc.build_vocab(spark, merges, SPECIALS), merges)
 
 

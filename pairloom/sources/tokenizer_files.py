@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.functions.text import clean_specials
+from pairloom.functions.text import clean_specials, hex_to_text
 from pairloom.operators.vocab import special_table
 
 NUL = "\0"
@@ -161,12 +161,9 @@ def load_gpt2_vocab(
         .join(vocab.select("token_hex"), "token_hex", "left_anti")
         .withColumn("nth", F.row_number().over(Window.orderBy("pos")) - 1)
     )
-    size = vocab.agg(F.count(F.lit(1)).cast("int").alias("size"))
-    at = (F.col("size") + F.col("nth")).cast("int")
+    at = (F.col("nth") + vocab.count()).cast("int")
     return vocab.unionByName(
-        missing.crossJoin(F.broadcast(size)).select(
-            at.alias("token_id"), "token_hex", at.alias("ins_order")
-        )
+        missing.select(at.alias("token_id"), "token_hex", at.alias("ins_order"))
     )
 
 
@@ -183,8 +180,6 @@ def save_gpt2_merges(merges: DataFrame, path: str) -> None:
 
 def save_vocab(vocab: DataFrame, path: str, lossless: bool = True) -> None:
     """JSON id -> token, as byte literals or (lossy) as text with U+FFFD for bad bytes."""
-    from pairloom.functions.text import hex_to_text
-
     token = bytes_literal("token_hex") if lossless else hex_to_text(F.col("token_hex"))
     _write_object(
         vocab.select(

@@ -34,36 +34,40 @@ def certain_merges(
     """The merges that one-at-a-time training would make next, as far as counts alone tell.
 
     `top` holds (count, left hex, right hex); pairs not in it have at most `floor`. Merging (a, b)
-    changes only pairs that end in a or start with b, and the pairs it creates are never more
-    frequent than those. So the next pair in order is certain while it touches no merge taken so far
-    and is strictly more frequent than every pair such a merge changes. A pair of one symbol
-    with itself, or one whose bytes exist already, breaks that argument and is taken alone.
+    changes only pairs that end in a or start with b: those lose occurrences, and each occurrence
+    lost may come back as a new pair such as (x, ab). So a new pair is at most as frequent as the
+    pair it comes from. The next pair in order is certain while it touches no merge taken so far and
+    comes before every such new pair, were that as frequent as it can be. A pair of one symbol with
+    itself, or one whose bytes exist already, breaks that argument and is taken alone.
     """
     ranked = sorted(top, reverse=True)
-    ending: dict[str, int] = defaultdict(int)
-    starting: dict[str, int] = defaultdict(int)
+    ending: dict[str, list[tuple[int, str]]] = defaultdict(list)
+    starting: dict[str, list[tuple[int, str]]] = defaultdict(list)
     for n, left, right in ranked:
-        ending[right] = max(ending[right], n)
-        starting[left] = max(starting[left], n)
+        ending[right].append((n, left))
+        starting[left].append((n, right))
 
     taken: list[tuple[str, str]] = []
-    lefts: set[str] = set()
-    rights: set[str] = set()
     made: set[str] = set()
-    bound = floor
+    made_with_left: dict[str, list[str]] = defaultdict(list)
+    made_with_right: dict[str, list[str]] = defaultdict(list)
+    threat = (floor, "~", "")  # "~" sorts after any hex: unseen pairs win ties
     for n, left, right in ranked[:room]:
         alone = left == right or left + right in known
-        if taken and (
-            alone or left + right in made or n <= bound or right in lefts or left in rights
-        ):
+        touches = right in made_with_left or left in made_with_right
+        if taken and (alone or touches or left + right in made or (n, left, right) <= threat):
             break
         taken.append((left, right))
         if alone:
             break
-        lefts.add(left)
-        rights.add(right)
-        made.add(left + right)
-        bound = max(bound, ending[left], starting[right])
+        new = left + right
+        made.add(new)
+        made_with_left[left].append(new)
+        made_with_right[right].append(new)
+        for m, x in ending[left]:
+            threat = max(threat, *((m, l, new) for l in (x, *made_with_right.get(x, ()))))
+        for m, y in starting[right]:
+            threat = max(threat, *((m, new, r) for r in (y, *made_with_left.get(y, ()))))
     return taken
 
 

@@ -15,7 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SURROGATES = range(0xD800, 0xE000)
-MAX_SYMBOLS = 0x110000 - len(SURROGATES)
+SEPARATOR = "\U0010ffff"  # never a symbol
+MAX_SYMBOLS = ord(SEPARATOR) - len(SURROGATES)
 
 
 def _character(index: int) -> str:

@@ -6,6 +6,8 @@ Everything is a built-in Spark expression, so it runs inside the scan stage and
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,10 +48,10 @@ def special_alternation(specials: Sequence[str]) -> str:
 
 
 def _holds_special(text: Column, specials: Sequence[str]) -> Column:
-    found = F.lit(False)
-    for token in specials:
-        found = found | F.contains(text, F.lit(token))
-    return found
+    """Substring tests for a few specials, one pattern for many."""
+    if len(specials) > 16:
+        return F.regexp_like(text, F.lit(special_alternation(specials)))
+    return reduce(or_, [F.contains(text, F.lit(token)) for token in specials])
 
 
 def segments(text: Column, specials: Sequence[str] | None = None) -> Column:

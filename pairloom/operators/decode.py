@@ -11,11 +11,6 @@ from pairloom.functions.text import hex_to_text
 DENSE_IDS = 4 * MAX_SYMBOLS
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_SYMBOLS) -> DataFrame:
-    """`df` with a broadcast hint if it is no longer than `max_rows`, else as it is."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def decode_column(docs: DataFrame, vocab: DataFrame, ids: str, to: str) -> DataFrame:
     """Decode id arrays in their rows, by lookup in a constant array: no join, no shuffle.
 
@@ -39,13 +34,13 @@ def decode_column(docs: DataFrame, vocab: DataFrame, ids: str, to: str) -> DataF
 
 
 def decode_rows(tokens: DataFrame, key: str, vocab: DataFrame) -> DataFrame:
-    """(key, text) from (key, pos, token_id). A group is one document's own tokens."""
-    return (
-        tokens.join(checked_broadcast(vocab.select("token_id", "token_hex")), "token_id")
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "token_hex"))).alias("parts"))
-        .select(key, hex_to_text(F.array_join(F.col("parts.token_hex"), "")).alias("text"))
+    """(key, text) from (key, pos, token_id). A group is one document's own tokens, and only
+    numbers are shuffled: the bytes are looked up afterwards."""
+    parts = F.sort_array(F.collect_list(F.struct("pos", "token_id")))
+    documents = tokens.groupBy(key).agg(parts.alias("parts")).select(
+        key, F.col("parts.token_id").alias("ids")
     )
+    return decode_column(documents, vocab, "ids", "text").select(key, "text")
 
 
 def unknown_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:

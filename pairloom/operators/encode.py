@@ -19,9 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.symbols import (
+    MAX_SYMBOLS,
+    SEPARATOR,
     SymbolTable,
     apply_merges,
     delimited_hex,
+    string_array,
     symbol_list,
     symbol_word,
 )
@@ -141,16 +144,13 @@ class Encoder:
             table.add(token_hex)
         # keys that are not hex cannot meet the bytes of a symbol
         marks = {s: table.add(f"special {i}") for i, s in enumerate(self.specials)}
-        separator = table.add("separator")
 
         def coded(part: Column) -> Column:
-            out = symbol_word(part)
-            for special, mark in marks.items():
-                out = F.when(part == special, F.lit(mark)).otherwise(out)
-            return out
+            marked = [F.when(part == special, F.lit(mark)) for special, mark in marks.items()]
+            return F.coalesce(*marked, symbol_word(part))
 
-        word = F.array_join(F.transform(parts, coded), separator)
-        id_of, spelling = dict(self.id_of), self.spelling | {separator: ""}
+        word = F.array_join(F.transform(parts, coded), SEPARATOR)
+        id_of, spelling = dict(self.id_of), self.spelling | {SEPARATOR: ""}
         for special, mark in marks.items():
             if self.specials[special] is None:
                 spelling[mark] = ""
@@ -161,9 +161,13 @@ class Encoder:
     @staticmethod
     def _lookup(word: Column, id_of: Mapping[str, int], spelling: Mapping[str, str]) -> Column:
         """Symbols without an id are spelled out or removed; the rest are looked up by code point."""
-        for symbol, spelled in spelling.items():
-            if spelled:
-                word = F.replace(word, F.lit(symbol), F.lit(spelled))
+        spelled_out = [symbol + spelled for symbol, spelled in spelling.items() if spelled]
+        if spelled_out:
+            word = F.aggregate(
+                string_array(spelled_out, SEPARATOR),
+                word,
+                lambda w, s: F.replace(w, F.substring(s, 1, 1), F.substring(s, 2, MAX_SYMBOLS)),
+            )
         word = F.translate(word, "".join(c for c, spelled in spelling.items() if not spelled), "")
         ids = [0] * (max(map(ord, id_of), default=0) + 1)
         for symbol, token_id in id_of.items():

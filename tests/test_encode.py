@@ -144,3 +144,16 @@ def test_encoding_needs_no_shuffle(spark):
     df = spark.range(10).select(F.col("id").cast("string").alias("text"))
     plan = tok.decode(tok.encode(df), to="back")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_many_specials_and_many_gaps(spark, path):
+    specials = [f"<|{i}|>" for i in range(60)]
+    merges = [(bytes([a]), bytes([b])) for a in b"abcdefgh" for b in b"abcdefgh"]
+    tokens = dict(enumerate([*(bytes([b]) for b in b"abcdefg \0"), b"ab"]))
+    tok = build(spark, tokens, merges, specials)
+    tokens |= {len(tokens) + i: s.encode() for i, s in enumerate(specials)}
+    rng = random.Random(9)
+    texts = ["".join(rng.choices([*"abcdefgh \0", *specials[:5]], k=25)) for _ in range(40)]
+    assert ids(tok, rows(spark, texts)) == [brute.encode(t, tokens, merges, specials) for t in texts]
+    counts = spark.createDataFrame([("cdab", 1)], "pretoken string, n long")
+    assert tok.encode_words(counts).first()["ids"] == [2, 3, 9]

@@ -29,16 +29,20 @@ ROUNDS_PER_BASE = 6
 
 
 def certain_merges(
-    top: Sequence[tuple[int, str, str]], floor: int, known: SymbolTable, room: int
+    top: Sequence[tuple[int, str, str]], complete: bool, known: SymbolTable, room: int
 ) -> list[tuple[str, str]]:
     """The merges that one-at-a-time training would make next, as far as counts alone tell.
 
-    `top` holds (count, left hex, right hex); pairs not in it have at most `floor`. Merging (a, b)
-    changes only pairs that end in a or start with b: those lose occurrences, and each occurrence
-    lost may come back as a new pair such as (x, ab). So a new pair is at most as frequent as the
-    pair it comes from. The next pair in order is certain while it touches no merge taken so far and
-    comes before every such new pair, were that as frequent as it can be. A pair of one symbol with
-    itself, or one whose bytes exist already, breaks that argument and is taken alone.
+    `top` holds the first pairs in order as (count, left hex, right hex), all of them if `complete`.
+    Merging (a, b) changes only pairs that end in a or start with b: those lose occurrences, and
+    each occurrence lost may come back as a new pair such as (x, ab). So a new pair is at most as
+    frequent as the pair it comes from. The next pair in order is certain while it touches no
+    merge taken so far and comes before every such new pair, were that as frequent as it can be. A
+    pair of one symbol with itself, or one whose bytes exist already, breaks that argument and is
+    taken alone.
+
+    A new pair from a pair not in `top` starts with that pair's left symbol, which is not after the
+    left symbol of the last pair listed if the counts are equal, or with a symbol just made.
     """
     ranked = sorted(top, reverse=True)
     ending: dict[str, list[tuple[int, str]]] = defaultdict(list)
@@ -51,7 +55,8 @@ def certain_merges(
     made: set[str] = set()
     made_with_left: dict[str, list[str]] = defaultdict(list)
     made_with_right: dict[str, list[str]] = defaultdict(list)
-    threat = (floor, "~", "")  # "~" sorts after any hex: unseen pairs win ties
+    last_n, last_left, _ = (0, "", "") if complete else ranked[-1]
+    threat = (last_n, last_left, "~")  # "~" sorts after any hex
     for n, left, right in ranked[:room]:
         alone = left == right or left + right in known
         touches = right in made_with_left or left in made_with_right
@@ -64,6 +69,7 @@ def certain_merges(
         made.add(new)
         made_with_left[left].append(new)
         made_with_right[right].append(new)
+        threat = max(threat, (last_n, new, "~"))
         for m, x in ending[left]:
             threat = max(threat, *((m, l, new) for l in (x, *made_with_right.get(x, ()))))
         for m, y in starting[right]:
@@ -123,22 +129,11 @@ class MergeLearner:
             .where("n > 0")
         )
 
-    def _top_pairs(self) -> tuple[list[tuple[int, str, str]], int]:
-        """The most frequent pairs, and a bound on the count of any pair not among them."""
-        pairs = self.pairs()
-        rows = pairs.orderBy(F.desc("n")).limit(TOP_PAIRS).collect()
-        floor = rows[-1]["n"] if len(rows) == TOP_PAIRS else 0
-        if floor and rows[0]["n"] == floor:
-            # more ties than rows: let Spark find the byte-wise largest of them
-            best = (
-                pairs.where(F.col("n") == floor)
-                .select("n", *pair_sides(F.col("pair"), self.symbols))
-                .agg(F.max(F.struct("n", "l", "r")).alias("best"))
-                .first()["best"]
-            )
-            return [tuple(best)], floor
-        hexes = self.symbols.hex
-        return [(r["n"], hexes(r["pair"][0]), hexes(r["pair"][1])) for r in rows], floor
+    def _top_pairs(self) -> list[tuple[int, str, str]]:
+        """The first pairs in merge order: by count, then by bytes."""
+        pairs = self.pairs().select("n", *pair_sides(F.col("pair"), self.symbols))
+        order = [F.desc(c) for c in ("n", "l", "r")]
+        return [tuple(row) for row in pairs.orderBy(*order).limit(TOP_PAIRS).collect()]
 
     def _rebase(self) -> None:
         words, pairs = self.base_words, self.base_pairs
@@ -156,13 +151,13 @@ class MergeLearner:
         With `step`, no round passes a multiple of it and `on_step` runs at each one.
         """
         while len(self.merges) < num_merges:
-            top, floor = self._top_pairs()
+            top = self._top_pairs()
             if not top:
                 break
             room = min(num_merges - len(self.merges), MERGES_PER_ROUND)
             if step:
                 room = min(room, step - len(self.merges) % step)
-            taken = certain_merges(top, floor, self.symbols, room)
+            taken = certain_merges(top, len(top) < TOP_PAIRS, self.symbols, room)
             self.since_base += [self.symbols.rule(left, right) for left, right in taken]
             self.merges += taken
             self.rounds += 1

@@ -72,9 +72,8 @@ def test_certain_merges_equal_single_steps_on_random_corpora():
             top = sorted(((n, *brute.hexes([p])[0]) for p, n in counts.items()), reverse=True)
             if not top:
                 break
-            cut = rng.choice([len(top), 3])
-            floor = top[cut - 1][0] if cut < len(top) else 0
-            taken = certain_merges(top[:cut], floor, symbols, 25 - len(got))
+            cut = rng.choice([len(top), 3, 8])
+            taken = certain_merges(top[:cut], cut >= len(top), symbols, 25 - len(got))
             assert taken
             for left, right in taken:
                 pair = (bytes.fromhex(left), bytes.fromhex(right))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.symbols import SymbolTable, fold_sql, pair_list_sql
 from pairloom.functions.text import clean_specials
-from pairloom.operators.pairs import coded_pair_counts, pair_sides
+from pairloom.operators.pairs import coded_pair_counts
 from pairloom.operators.pretokenize import word_counts
 from pairloom.operators.vocab import build_vocab
 from pairloom.plans.tokenizer import Tokenizer, merge_table
@@ -131,7 +131,12 @@ class MergeLearner:
 
     def _top_pairs(self) -> list[tuple[int, str, str]]:
         """The first pairs in merge order: by count, then by bytes."""
-        pairs = self.pairs().select("n", *pair_sides(F.col("pair"), self.symbols))
+        hexes = ",".join(self.symbols.hex_list())
+        sides = [
+            f"get(split('{hexes}', ','), ascii(substring(pair, {at}, 1))) AS {side}"
+            for at, side in ((1, "l"), (2, "r"))
+        ]
+        pairs = self.pairs().selectExpr("n", *sides)
         order = [F.desc(c) for c in ("n", "l", "r")]
         return [tuple(row) for row in pairs.orderBy(*order).limit(TOP_PAIRS).collect()]
 

@@ -122,6 +122,24 @@ def _nodes_task(size: int, percent: int, sketch, slots: int):
     return run
 
 
+def _postings_task(sketch, slots: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = dense(sketch.value, slots).astype(bool)
+        for batch in batches:
+            prefixes = batch.column(1)
+            tokens = prefixes.flatten().to_numpy(zero_copy_only=False)
+            lengths = np.diff(prefixes.offsets.to_numpy())
+            pos = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            keep = shared[((tokens.view(np.uint64) >> np.uint64(32)) & np.uint64(slots - 1)).astype(np.int64)]
+            gids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lengths)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gids[keep]), pa.array(pos[keep].astype(np.int32)), pa.array(tokens[keep])],
+                names=["gid", "pos", "token"],
+            )
+
+    return run
+
+
 def _tokens_task(size: int, wanted, slots: int):
     """Whole sets of the documents whose id falls on a wanted place."""
 
@@ -186,6 +204,20 @@ class NgramJoin:
         )
         return stored(nodes.withColumn("gid", F.xxhash64("n", "prefix")), "ngram-members")
 
+    def _shared_postings(self, groups: DataFrame) -> DataFrame:
+        """(gid, pos, token) for the prefix shingles that several groups have. Most have one only: a
+        sketch drops nearly all of those in the scan, a join with the exact counts the rest."""
+        shared = (
+            groups.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token")
+        )
+        shared = stored(shared, "ngram-shared")
+        slots = shared.select(slot_of(F.shiftrightunsigned("token", 32), SLOTS).alias("slot"), F.lit(1).alias("level"))
+        sketch = self.spark.sparkContext.broadcast(collect_slots(slots, SLOTS))
+        postings = groups.select("gid", "prefix").mapInArrow(
+            _postings_task(sketch, SLOTS), "gid bigint, pos int, token bigint"
+        )
+        return postings.join(shared, "token", "left_semi")
+
     def _alpha(self, a: Column, b: Column) -> Column:
         """Least overlap of two sets of sizes a and b that are similar enough."""
         return F.ceil((a + b) * self.percent / (100 + self.percent) - 1e-9)
@@ -238,12 +270,15 @@ class NgramJoin:
     def labels(self) -> DataFrame:
         """(node, label) of all nodes that are linked with another."""
         members = self._members()
-        groups = members.groupBy("gid").agg(
-            F.min("node").alias("head"), F.count(F.lit(1)).alias("size"), *[F.first(c).alias(c) for c in ("n", "prefix")]
+        groups = stored(
+            members.groupBy("gid").agg(
+                F.min("node").alias("head"), F.count(F.lit(1)).alias("size"), *[F.first(c).alias(c) for c in ("n", "prefix")]
+            ),
+            "ngram-groups",
         )
         band = F.floor(F.log("n") / float(np.log(100 / self.percent))).cast("int")
         postings = stored(
-            groups.select("gid", "head", "size", "n", band.alias("band"), F.posexplode("prefix").alias("pos", "token")),
+            self._shared_postings(groups).join(groups.select("gid", "head", "size", "n", band.alias("band")), "gid"),
             "ngram-postings",
         )
         hubs = (

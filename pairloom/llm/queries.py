@@ -18,6 +18,9 @@ from pairloom.llm import (
     toxicity,
     url_filter,
 )
+from pairloom.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 24
@@ -106,5 +109,3 @@ QUERIES = {
     "op9_substring_dedup": substrings,
     "op10_html_text": main_text,
 }
-
-ORACLES: dict[str, str] = {}

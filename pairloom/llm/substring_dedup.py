@@ -28,9 +28,9 @@ KEPT = "n_words bigint, n_removed bigint, kept string"
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[Streams]:
     hasher = WordHasher()
-    for part in by_bytes(batches, 2):
-        owners, rows = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        yield Streams(np.zeros(len(owners), np.int64), owners, rows, hasher.each(text_bytes(part.column(2))))
+    for part in by_bytes(batches, 3):
+        owners, rows, contents = (part.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        yield Streams(np.zeros(len(owners), np.int64), owners, rows, contents, hasher.each(text_bytes(part.column(3))))
 
 
 def removal_intervals(at: list[int], size: int) -> list[tuple[int, int]]:
@@ -46,12 +46,14 @@ def removal_intervals(at: list[int], size: int) -> list[tuple[int, int]]:
 
 def _without(size: int):
     @F.arrow_udf(f"struct<{KEPT.replace(' ', ': ').replace(',:', ',')}>")
-    def kept(texts: pa.Array, places: pa.Array) -> pa.Array:
+    def kept(texts: pa.Array, places: pa.Array, copies: pa.Array) -> pa.Array:
         counts, removed, out = [], [], []
-        for text, at in zip(text_bytes(texts), places.to_pylist()):
+        for text, at, copied in zip(text_bytes(texts), places.to_pylist(), copies.to_pylist()):
             words = text.split()
             counts.append(len(words))
-            for start, end in reversed(removal_intervals(at or [], size)):
+            if copied and len(words) >= size:
+                words.clear()
+            for start, end in reversed(removal_intervals(at or [], size) if words else []):
                 del words[start:end]
             removed.append(counts[-1] - len(words))
             out.append(b" ".join(words))
@@ -68,13 +70,28 @@ def substring_dedup(docs: DataFrame, *, size: int = SIZE, part: int = PART) -> D
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.hash("text").alias("row"),  # tells rows of one id apart; equal rows have equal results
+        F.xxhash64("text").alias("content"),
         F.col("text").cast("string").alias("text"),
     )
-    found = repeated_windows(rows.where("doc_id is not null"), _streams, size=size, part=part)
+    known = rows.where("doc_id is not null")
+    firsts = known.groupBy("content", "row").agg(F.min("doc_id").alias("first"))
+    copies = (
+        known.select("doc_id", "row", "content")
+        .join(firsts, ["content", "row"])
+        .where("doc_id > first")
+        .select("doc_id", "row", F.lit(None).cast("int").alias("at"), F.lit(True).alias("copied"))
+    )
+    windows = (
+        repeated_windows(known, _streams, size=size, part=part)
+        .where("first_owner < owner")
+        .select(F.col("owner").alias("doc_id"), "row", "at", F.lit(False).alias("copied"))
+    )
     gone = (
-        found.where("first_owner < owner")
-        .groupBy(F.col("owner").alias("doc_id"), "row")
-        .agg(F.collect_set("at").alias("at"))
+        windows.union(copies)
+        .groupBy("doc_id", "row")
+        .agg(F.collect_set("at").alias("at"), F.max("copied").alias("copied"))
+    )
+    result = rows.join(gone, ["doc_id", "row"], "left").select(
+        "doc_id", _without(size)("text", "at", "copied").alias("out")
     )
-    result = rows.join(gone, ["doc_id", "row"], "left").select("doc_id", _without(size)("text", "at").alias("out"))
     return result.select("doc_id", "out.n_words", "out.n_removed", "out.kept")

@@ -25,11 +25,13 @@ SLOTS = 1 << 24
 @dataclass
 class Streams:
     """Token hashes of some rows. Windows are compared within a scope; rows of one owner are one
-    document; `row` tells the rows of an owner apart."""
+    document; `row` tells the rows of an owner apart. Windows are of interest where they occur in
+    different contents."""
 
     scopes: np.ndarray
     owners: np.ndarray
     rows: np.ndarray
+    contents: np.ndarray
     tokens: list[np.ndarray]
 
 
@@ -81,9 +83,9 @@ def _minimizers_task(streams_of: StreamsOf, size: int, part: int):
                 np.unique(minimizers(t, size, part)) ^ salt if len(t) >= size else t[:0] for t, salt in zip(s.tokens, salts)
             ]
             if found:
-                owners = np.repeat(s.owners, [len(f) for f in found])
+                contents = np.repeat(s.contents, [len(f) for f in found])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(owners)], names=["token", "owner"]
+                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(contents)], names=["token", "content"]
                 )
 
     return run
@@ -123,12 +125,12 @@ def _windows_task(streams_of: StreamsOf, size: int, part: int, sketch, slots: in
 
 
 def repeated_windows(rows: DataFrame, streams_of: StreamsOf, *, size: int, part: int, slots: int = SLOTS) -> DataFrame:
-    """(owner, row, at, first_owner): each window that also occurs for another owner of its scope, with
-    the smallest owner it occurs for."""
-    parts = rows.mapInArrow(_minimizers_task(streams_of, size, part), "token bigint, owner bigint")
+    """(owner, row, at, first_owner): windows that also occur for another owner of their scope, with the
+    smallest owner they occur for. All such windows are there whose minimizer is in several contents."""
+    parts = rows.mapInArrow(_minimizers_task(streams_of, size, part), "token bigint, content bigint")
     shared = (
         parts.groupBy("token")
-        .agg(F.min("owner").alias("lo"), F.max("owner").alias("hi"))
+        .agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
         .where("lo <> hi")
         .select(slot_of(F.col("token"), slots).alias("slot"), F.lit(1).alias("level"))
     )

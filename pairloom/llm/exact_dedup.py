@@ -26,8 +26,11 @@ from pairloom.session import work_dir
 
 # The characters that do not count for equality.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk; without reserving file space ahead, which is megabytes for every partition.
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 # Hits are looked up by a broadcast up to this many (about 100 bytes each), by a shuffle beyond.
 BROADCAST_HITS = 200_000
 BEST = ["n_points", "rev_id", "file", "row"]
@@ -43,12 +46,14 @@ def sha256(text: Column) -> Column:
 
 @contextmanager
 def _disk_state(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in DISK_STATE}
+    for key, value in DISK_STATE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def with_locator(docs: DataFrame) -> DataFrame:

@@ -230,21 +230,22 @@ class NgramJoin:
             1 + F.least(na - ia - 1, nb - ib - 1) >= self._alpha(na, nb)
         )
 
+    def _sketches_allow(self, na: Column, nb: Column, sa: Column, sb: Column) -> Column:
+        """Not so if the sketches alone differ in more than similar enough sets can."""
+        differ = sum((F.bit_count(sa[i].bitwiseXOR(sb[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+        return differ <= na + nb - 2 * self._alpha(na, nb)
+
     def _verified(self, pairs: DataFrame, members: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes that are similar enough."""
         side = lambda c: members.select(
             F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")
         )
-        differ = F.aggregate(
-            F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x
-        )
-        total = F.col("na") + F.col("nb")
         near = (
             pairs.distinct()
             .join(side("a"), "a")
             .join(side("b"), "b")
             .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
-            .where(differ <= total - 2 * self._alpha(F.col("na"), F.col("nb")))
+            .where(self._sketches_allow(*map(F.col, ("na", "nb", "sa", "sb"))))
             .select("a", "b", "na", "nb")
         )
         near = stored(near, "ngram-pairs")
@@ -301,10 +302,12 @@ class NgramJoin:
 
         # what the hubs left open: nodes of different components in one bucket
         label = F.coalesce("label", "node").alias("label")
-        labelled = members.join(labels, "node", "left").select("node", "gid", label)
+        labelled = members.join(labels, "node", "left").select("node", "gid", label, "sketch")
+        # members of one group and component have one row; a single one brings its sketch along
+        single = F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")
         rows = (
-            labelled.select("gid", "label")
-            .distinct()
+            labelled.groupBy("gid", "label")
+            .agg(single)
             .join(postings.select("gid", "n", "pos", "token"), "gid")
         )
         open_buckets = (
@@ -325,6 +328,7 @@ class NgramJoin:
                 (F.col("x.label") != F.col("y.label"))
                 & ((F.col("y.label") == F.col("x.major")) | (F.col("x.label") < F.col("y.label")))
                 & self._may_link("x", "y")
+                & F.coalesce(self._sketches_allow(*[F.col(f"{r}.{c}") for c in ("n", "sketch") for r in "xy"]), F.lit(True))
             )
             .select(*[F.col(f"{r}.{c}").alias(f"{c}_{r}") for r in "xy" for c in ("gid", "label")])
             .distinct()

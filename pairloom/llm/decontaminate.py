@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairloom.llm.common import (
     PUNCTUATION,
@@ -172,7 +173,7 @@ def tile(item: list[int], text: list[int], least: int) -> list[tuple[int, int, i
         size = max(least, size // 2)
 
 
-@F.arrow_udf("struct<covered int, tiles int>")
+@F.arrow_udf(T.StructType([T.StructField("covered", T.IntegerType()), T.StructField("tiles", T.IntegerType())]))
 def _tiled(items: pa.Array, runs: pa.Array, least: pa.Array) -> pa.Array:
     out = []
     for item, run, n in zip(items.to_pylist(), runs.to_pylist(), least.to_pylist()):

@@ -3,7 +3,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+from pairloom.plans.oracles import ORACLES
+from pairloom.plans.registry import QUERIES
+
 TABLES = ["documents", "conversations", "pages", "benchmark", "labels"]
 
 
@@ -17,6 +19,8 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert entry_points.oracle_sql().keys() <= entry_points.queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -2,15 +2,13 @@
 
 Encoding a document needs nothing from any other row, so it is one narrow stage: text -> pretokens
 -> symbols -> ids, in the row. Splitting and the id arrays are Spark expressions. The merges
-themselves run either as Spark expressions (short merge lists) or in an Arrow function that folds each
-distinct pretoken of a batch once (long lists, where one string scan for each merge would dominate).
+themselves run in an Arrow function that folds each distinct pretoken of a batch once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from itertools import islice
-from operator import add
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +20,6 @@ from pairloom.functions.symbols import (
     MAX_SYMBOLS,
     SEPARATOR,
     SymbolTable,
-    apply_merges,
     delimited_hex,
     string_array,
     symbol_list,
@@ -30,31 +27,44 @@ from pairloom.functions.symbols import (
 )
 from pairloom.functions.text import clean_specials, pretokens
 
-# Longest merge list that runs as Spark expressions; measured, see README.
-EXPRESSION_MERGES = 48
-LONG_WORD = 1000
-MEMO_ENTRIES = 1 << 20
+MEMO_BYTES = 64 << 20
 
 
 def fold_word(word: str, rules: Sequence[str], ranks: Mapping[str, Sequence[int]]) -> str:
-    """Apply every rule once in list order, going straight to the next rule that can apply."""
-    if len(word) > LONG_WORD:
-        for rule in rules:
-            word = word.replace(rule[:2], rule[2])
-        return word
-    done = -1
-    while len(word) > 1:
-        coming = [
-            rank
-            for pair in set(map(add, word, islice(word, 1, None)))
-            for rank in ranks.get(pair, ())
-            if rank > done
-        ]
-        if not coming:
-            break
-        done = min(coming)
-        word = word.replace(rules[done][:2], rules[done][2])
-    return word
+    """Apply every rule once in list order, going straight to the next rule that can apply.
+
+    A heap holds (rank, place) of the pairs of neighbouring symbols; only ranks above the last one done
+    count. Places of one rank come out from left to right, so a pair that an earlier merge of the same
+    rule took a symbol from is found changed and skipped. The cost is that of the merges made.
+    """
+    symbols: list[str | None] = list(word)
+    after = list(range(1, len(symbols) + 1))
+    before = list(range(-1, len(symbols) - 1))
+    heap: list[tuple[int, int]] = []
+
+    def offer(at: int, done: int) -> None:
+        if at >= 0 and after[at] < len(symbols):
+            for rank in ranks.get(symbols[at] + symbols[after[at]], ()):
+                if rank > done:
+                    heappush(heap, (rank, at))
+                    break
+
+    for at in range(len(symbols) - 1):
+        offer(at, -1)
+    while heap:
+        rank, at = heappop(heap)
+        if symbols[at] is None:
+            continue
+        right = after[at]
+        if right >= len(symbols) or symbols[at] + symbols[right] != rules[rank][:2]:
+            continue
+        symbols[at], symbols[right] = rules[rank][2], None
+        after[at] = after[right]
+        if after[at] < len(symbols):
+            before[after[at]] = at
+        offer(before[at], rank)
+        offer(at, rank)
+    return "".join(s for s in symbols if s is not None)
 
 
 def rule_ranks(rules: Sequence[str]) -> dict[str, list[int]]:
@@ -78,11 +88,19 @@ def _arrow_ids(rules: Sequence[str], ids_of: Mapping[str, Sequence[int]], specia
     @F.arrow_udf("array<int>")
     def encoded(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ranks = rule_ranks(rules)
-        memo = dict(specials)
+        memo: dict[str, list[int]] = {}
+        held = 0
 
         def ids(pretoken: str) -> list[int]:
+            nonlocal held
+            if pretoken in specials:
+                return specials[pretoken]
             if pretoken not in memo:
                 word = fold_word(pretoken.encode("utf-8").decode("latin-1"), rules, ranks)
+                held += 200 + 40 * len(pretoken)  # bytes of text, list and numbers, roughly
+                if held > MEMO_BYTES:
+                    memo.clear()
+                    held = 200 + 40 * len(pretoken)
                 memo[pretoken] = [i for symbol in word for i in ids_of.get(symbol, ())]
             return memo[pretoken]
 
@@ -92,10 +110,11 @@ def _arrow_ids(rules: Sequence[str], ids_of: Mapping[str, Sequence[int]], specia
             tokens = rows.take(found.indices)
             ends = np.concatenate(([0], np.cumsum(pc.list_value_length(tokens).to_numpy(False))))
             docs = np.concatenate(([0], np.cumsum(pc.list_value_length(batch).to_numpy(False))))
-            offsets = ends[docs.astype(np.int64)].astype(np.int32)
+            offsets = ends[docs.astype(np.int64)]
+            if offsets[-1] >= 1 << 31:
+                raise OverflowError("a batch has more than 2^31 tokens; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+            offsets = offsets.astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(offsets), tokens.flatten())
-            if len(memo) > MEMO_ENTRIES:
-                memo = dict(specials)
 
     return encoded
 
@@ -125,38 +144,10 @@ class Encoder:
 
     def ids(self, text: Column) -> Column:
         """ARRAY<INT> for a text column."""
-        parts = pretokens(text, list(self.specials))
-        if len(self.rules) > EXPRESSION_MERGES:
-            return self._arrow_ids(parts)
-        return self._expression_ids(parts)
-
-    def _arrow_ids(self, parts: Column) -> Column:
         ids_of = {c: [i] for c, i in self.id_of.items()}
         ids_of.update((c, [self.id_of[b] for b in spelled]) for c, spelled in self.spelling.items())
         specials = {s: [] if i is None else [i] for s, i in self.specials.items()}
-        return _arrow_ids(self.rules, ids_of, specials)(parts)
-
-    def _expression_ids(self, parts: Column) -> Column:
-        """One symbol string for the row: pretokens with a separator between, specials as one
-        symbol each. No merge names those symbols, so nothing is merged across them."""
-        table = SymbolTable()
-        for token_hex in filter(None, self.symbols.hex_list()):
-            table.add(token_hex)
-        # keys that are not hex cannot meet the bytes of a symbol
-        marks = {s: table.add(f"special {i}") for i, s in enumerate(self.specials)}
-
-        def coded(part: Column) -> Column:
-            marked = [F.when(part == special, F.lit(mark)) for special, mark in marks.items()]
-            return F.coalesce(*marked, symbol_word(part))
-
-        word = F.array_join(F.transform(parts, coded), SEPARATOR)
-        id_of, spelling = dict(self.id_of), self.spelling | {SEPARATOR: ""}
-        for special, mark in marks.items():
-            if self.specials[special] is None:
-                spelling[mark] = ""
-            else:
-                id_of[mark] = self.specials[special]
-        return self._lookup(apply_merges(word, self.rules), id_of, spelling)
+        return _arrow_ids(self.rules, ids_of, specials)(pretokens(text, list(self.specials)))
 
     @staticmethod
     def _lookup(word: Column, id_of: Mapping[str, int], spelling: Mapping[str, str]) -> Column:
@@ -178,10 +169,7 @@ class Encoder:
     def words(self, counts: DataFrame) -> DataFrame:
         """(pretoken, n, symbols, ids) for distinct pretokens; the merges run once for each."""
         word = symbol_word(F.col("pretoken"))
-        if len(self.rules) > EXPRESSION_MERGES:
-            folded = _arrow_fold(self.rules)(word)
-        else:
-            folded = apply_merges(word, self.rules)
+        folded = _arrow_fold(self.rules)(word)
         return counts.select("pretoken", "n", folded.alias("folded")).select(
             "pretoken",
             "n",

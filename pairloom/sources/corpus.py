@@ -9,18 +9,19 @@ from pairloom.functions.text import DELIMITER, lenient_decode
 from pairloom.operators.pretokenize import pretoken_counts
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a freshly scanned table out to all cores if the scan has fewer splits.
-
-    Only small inputs are affected: a large table has more splits than cores and stays unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+PARTITIONS = "pairloom.read.partitions"
+COMPRESSED = (".gz", ".bz2", ".zst", ".zstd", ".lz4", ".snappy", ".deflate", ".xz")
 
 
 def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """The named columns of a Parquet table, spread."""
-    return spread(spark.read.parquet(path).select(*columns))
+    """The named columns of a Parquet table, in the splits of its scan.
+
+    Where the setting `pairloom.read.partitions` is given, the rows are dealt out to so many
+    partitions first. That shuffles the text, and is meant for one small file on many cores.
+    """
+    table = spark.read.parquet(path).select(*columns)
+    partitions = spark.conf.get(PARTITIONS, None)
+    return table.repartition(int(partitions)) if partitions else table
 
 
 def scan_delimited(spark: SparkSession, path: str, delimiter: str = DELIMITER) -> DataFrame:
@@ -40,6 +41,9 @@ def delimiter_counts(spark: SparkSession, path: str, delimiter: str = DELIMITER)
     The scan drops the delimiters, and a last record may or may not have one; the file's size tells.
     """
     size = len(delimiter.encode("utf-8"))
+    files = spark.read.text(path).inputFiles()
+    if packed := [f for f in files if f.endswith(COMPRESSED)]:
+        raise ValueError(f"delimiters of compressed files cannot be counted: {packed[0]}")
     return (
         spark.read.option("lineSep", delimiter)
         .text(path)

@@ -83,9 +83,17 @@ def bytes_literal(token_hex: pd.Series) -> pd.Series:
     return token_hex.map(lambda h: repr(bytes.fromhex(h)))
 
 
+def _one_file(spark: SparkSession, path: str) -> DataFrame:
+    """(value) of one text file as one row; the order of entries is that within a file."""
+    whole = spark.read.text(path, wholetext=True)
+    if len(whole.inputFiles()) > 1:
+        raise ValueError(f"{path} holds several files; their order is not known")
+    return whole
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(line_no, line) of a text file."""
-    return spark.read.text(path, wholetext=True).select(
+    return _one_file(spark, path).select(
         F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line_no", "line")
     )
 
@@ -113,8 +121,9 @@ def load_merges(spark: SparkSession, path: str) -> DataFrame:
 
 def _json_entries(spark: SparkSession, path: str) -> DataFrame:
     """(pos, key, value) of a JSON object in file order."""
-    return spark.read.text(path, wholetext=True).select(
-        F.posexplode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("pos", "entry")
+    parsed = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
+    return _one_file(spark, path).select(
+        F.posexplode(F.map_entries(parsed)).alias("pos", "entry")
     ).select("pos", "entry.key", "entry.value")
 
 
@@ -190,9 +199,12 @@ def save_vocab(vocab: DataFrame, path: str, lossless: bool = True) -> None:
 
 
 def save_gpt2_vocab(vocab: DataFrame, path: str) -> None:
-    """JSON token -> id."""
+    """JSON token -> id. The format has one id for a token: that of the entry put in last."""
+    last = vocab.groupBy("token_hex").agg(
+        F.max_by("token_id", "ins_order").alias("token_id"), F.max("ins_order").alias("ins_order")
+    )
     _write_object(
-        vocab.select(
+        last.select(
             F.col("ins_order").alias("at"),
             hex_to_shown(F.col("token_hex")).alias("key"),
             F.col("token_id").cast("string").alias("value"),

@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -142,3 +143,26 @@ def test_streams_equal_batch(spark, tmp_path, sf_dir):
     rows = spark.read.parquet(str(tmp_path / "ids/rows"))
     assert rows.count() == docs.count()
     assert rows.exceptAll(tok.encode(docs).select(rows.columns)).isEmpty()
+
+
+def test_faulty_files_are_refused(spark, tmp_path):
+    (tmp_path / "vocab.json").write_text('{"0": "a", "1": ')
+    with pytest.raises(Exception):
+        tokenizer_files.load_vocab(spark, f"{tmp_path}/vocab.json").collect()
+    two = tmp_path / "two"
+    two.mkdir()
+    for name in "ab":
+        (two / name).write_text("a b\n")
+    with pytest.raises(ValueError):
+        tokenizer_files.load_gpt2_merges(spark, str(two))
+    packed = tmp_path / "packed.txt.gz"
+    packed.write_bytes(gzip.compress(b"a<|endoftext|>b"))
+    with pytest.raises(ValueError):
+        corpus.delimiter_counts(spark, str(packed))
+
+
+def test_equal_bytes_keep_the_last_id(spark, tmp_path):
+    vocab = spark.createDataFrame([(0, "61", 0), (1, "62", 1), (2, "61", 2)], "token_id int, token_hex string, ins_order int")
+    tokenizer_files.save_gpt2_vocab(vocab, f"{tmp_path}/vocab")
+    got = tokenizer_files.load_gpt2_vocab(spark, f"{tmp_path}/vocab").collect()
+    assert {(r["token_id"], r["token_hex"]) for r in got} == {(1, "62"), (2, "61")}

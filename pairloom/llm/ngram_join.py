@@ -205,10 +205,12 @@ class NgramJoin:
         return stored(nodes.withColumn("gid", F.xxhash64("n", "prefix")), "ngram-members")
 
     def _shared_postings(self, groups: DataFrame) -> DataFrame:
-        """(gid, pos, token) for the prefix shingles that several groups have. Most have one only: a
+        """(gid, pos, token) for the prefix shingles that several nodes have. Most have one only: a
         sketch drops nearly all of those in the scan, a join with the exact counts the rest."""
         shared = (
-            groups.select(F.explode("prefix").alias("token")).groupBy("token").count().where("count > 1").select("token")
+            groups.select("size", F.explode("prefix").alias("token")).groupBy("token").agg(F.sum("size").alias("nodes"))
+            .where("nodes > 1")
+            .select("token")
         )
         shared = stored(shared, "ngram-shared")
         slots = shared.select(slot_of(F.shiftrightunsigned("token", 32), SLOTS).alias("slot"), F.lit(1).alias("level"))

@@ -206,6 +206,20 @@ def test_ngram_components_of_a_large_cluster(spark):
     assert Counter(tuple(r) for r in got.collect()) == links_by_hand(rows, 3, 80)
 
 
+def test_ngram_components_inside_one_group(spark):
+    """Two members of a group that are linked with each other, and not with the group's first member."""
+    rows = []
+    for k in range(8):
+        words = [f"k{k}v{i}".encode() for i in range(40)]
+        tokens = ngram_join.gram_hashes(WordHasher().each([b" ".join(words)])[0], 1)
+        ordered = [words[i].decode() for i in np.argsort(tokens)]
+        prefix, rest = ordered[:3], ordered[3:]
+        for members in (rest[:7], rest[1:8], rest[20:27]):
+            rows.append((len(rows), " ".join(prefix + members)))
+    found = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), size=1, percent=80)
+    assert Counter(tuple(r) for r in found.collect()) == links_by_hand(rows, 1, 80)
+
+
 def test_keep_one_each(docs, nothing, rows):
     kept = ngram_join.keep_one_each(docs)
     assert kept.columns == docs.columns

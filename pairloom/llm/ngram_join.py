@@ -6,10 +6,11 @@ same prefix and size form a group, and only groups meet: in the buckets of their
 filtered by size and position. Group pairs that pass are expanded to members, filtered once more by a
 parity sketch, and verified on the whole sets.
 
-A large cluster never emits all its pairs. First each group meets only one hub group of its bucket,
-and each member the first member of its group; that links most of a cluster in linear work. Then, in
-buckets that still hold several components, every pair of nodes of different components is tried.
-Pairs left out are in one component already, so the components are exact.
+A large cluster never emits all its pairs. First each group meets only one hub of each of its buckets,
+and each member the first member of its group; then each node meets hubs among those that agree with
+it in a part of its parity sketch. That links nearly all of a cluster in linear work. Last, in buckets
+that still hold several components, every pair of nodes of different components is tried that the
+sketches allow. Pairs left out are in one component already, so the components are exact.
 
 The order: a shingle counted often among the hash-ordered prefixes has a high level in a sketch of
 fixed size, and the order is (level, hash). Any fixed order is exact; this one keeps buckets small.
@@ -45,6 +46,8 @@ from pairloom.llm.common import (
 SLOTS = 1 << 22
 COMMON = 16  # a shingle in this many prefixes or more gets a level above 0
 SKETCH_WORDS = 4  # longs in a parity sketch
+# Parts of a long of the sketch in which nodes meet hubs, by turn; only the cost depends on them.
+SKETCH_PARTS = ((0xFFFFFFFF, -1 << 32), (0x0000FFFF0000FFFF, ~0x0000FFFF0000FFFF))
 KEYS = "doc_id bigint, node bigint, n bigint, prefix array<bigint>"
 NODES = "node bigint, n bigint, prefix array<bigint>, sketch array<bigint>"
 SETS = "node bigint, tokens array<bigint>"
@@ -270,6 +273,45 @@ class NgramJoin:
             "ngram-links",
         )
 
+    def _meet_hubs(self, rows: DataFrame, *keys: str) -> DataFrame:
+        """The pairs (a, b) of nodes when each row (keys, label, head, n, pos) meets the hub of its
+        bucket: one row by a hash that also depends on the bucket, so a node meets many hubs."""
+        hubs = (
+            rows.groupBy(*keys)
+            .agg(
+                F.max(F.struct(F.xxhash64(*keys, "head").alias("rank"), "head", "label", "n", "pos")).alias("hub"),
+                F.min("label").alias("lo"),
+                F.max("label").alias("hi"),
+            )
+            .where("lo <> hi")
+            .select(*keys, "hub.head", "hub.label", "hub.n", "hub.pos")
+        )
+        return (
+            rows.alias("x")
+            .join(hubs.alias("h"), list(keys))
+            .where((F.col("x.label") != F.col("h.label")) & self._may_link("x", "h"))
+            .select(F.least("x.head", "h.head").alias("a"), F.greatest("x.head", "h.head").alias("b"))
+        )
+
+    def _pieces(self, nodes: DataFrame, masks: tuple[int, ...]) -> DataFrame:
+        """Buckets of equal parts of the parity sketch: sets that differ in little have several."""
+        pieces = [
+            F.struct(F.lit(i * len(masks) + j).alias("place"), F.col("sketch")[i].bitwiseAND(F.lit(mask)).alias("piece"))
+            for i in range(SKETCH_WORDS)
+            for j, mask in enumerate(masks)
+        ]
+        return nodes.select(
+            F.col("node").alias("head"), "label", "n", F.lit(0).alias("pos"), self._band().alias("band"), F.inline(F.array(*pieces))
+        )
+
+    def _band(self) -> Column:
+        return F.floor(F.log("n") / float(np.log(100 / self.percent))).cast("int")
+
+    @staticmethod
+    def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+        label = F.coalesce("label", "node").alias("label")
+        return members.join(labels, "node", "left").select("node", "gid", label, "n", "sketch")
+
     def labels(self) -> DataFrame:
         """(node, label) of all nodes that are linked with another."""
         members = self._members()
@@ -279,32 +321,27 @@ class NgramJoin:
             ),
             "ngram-groups",
         )
-        band = F.floor(F.log("n") / float(np.log(100 / self.percent))).cast("int")
         postings = stored(
-            self._shared_postings(groups).join(groups.select("gid", "head", "size", "n", band.alias("band")), "gid"),
+            self._shared_postings(groups).join(groups.select("gid", "head", "n", self._band().alias("band")), "gid"),
             "ngram-postings",
         )
-        hubs = (
-            postings.groupBy("token", "band")
-            .agg(F.max(F.struct("size", "head", "n", "pos")).alias("hub"), F.count(F.lit(1)).alias("groups"))
-            .where("groups > 1")
-            .select("token", "band", "hub.head", "hub.n", "hub.pos")
-        )
-        across = (
-            postings.alias("x")
-            .join(hubs.alias("h"), ["token", "band"])
-            .where((F.col("x.head") != F.col("h.head")) & self._may_link("x", "h"))
-            .select(F.col("x.head").alias("a"), F.col("h.head").alias("b"))
-        )
+        across = self._meet_hubs(postings.withColumn("label", F.col("head")), "token", "band")
         within = members.join(groups.where("size > 1").select("gid", "head"), "gid").where("node <> head").select(
             F.col("node").alias("a"), F.col("head").alias("b")
         )
         links = self._verified(across.union(within), members)
         labels = stored(components(links), "ngram-labels")
 
+        # hubs among nodes whose sketches agree in part, for what the first ones left open
+        for masks in SKETCH_PARTS:
+            rows = self._pieces(self._labelled(members, labels), masks)
+            found = self._verified(self._meet_hubs(rows, "band", "place", "piece"), members)
+            if not found.isEmpty():
+                links = links.union(found)
+                labels = stored(components(links), "ngram-labels")
+
         # what the hubs left open: nodes of different components in one bucket
-        label = F.coalesce("label", "node").alias("label")
-        labelled = members.join(labels, "node", "left").select("node", "gid", label, "sketch")
+        labelled = self._labelled(members, labels)
         # members of one group and component have one row; a single one brings its sketch along
         single = F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")
         rows = (
@@ -336,11 +373,16 @@ class NgramJoin:
             .distinct()
         )
         side = lambda r, c: labelled.select(
-            F.col("node").alias(c), F.col("gid").alias(f"gid_{r}"), F.col("label").alias(f"label_{r}")
+            F.col("node").alias(c),
+            F.col("n").alias(f"n{c}"),
+            F.col("sketch").alias(f"s{c}"),
+            F.col("gid").alias(f"gid_{r}"),
+            F.col("label").alias(f"label_{r}"),
         )
         pairs = (
             met.join(side("x", "a"), ["gid_x", "label_x"])
             .join(side("y", "b"), ["gid_y", "label_y"])
+            .where(self._sketches_allow(*map(F.col, ("na", "nb", "sa", "sb"))))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         )
         more = self._verified(pairs, members)

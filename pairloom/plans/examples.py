@@ -4,7 +4,7 @@ from pairloom.functions.text import DELIMITER
 
 SPECIALS = [DELIMITER, "<|user|>", "<|assistant|>", DELIMITER + DELIMITER]
 
-# A merge list in rank order, "left right" in hex.
+# A merge list in rank order, "left right" in hex.
 _MERGES = """
     74 68, 20 65, 20 7468, 6F 6E, 69 6E, 72 65, 20 61, 74 69,
     65 72, 68 65, 6E 64, 6C 65, 65 6E, 20 C3, 20 6F, 63 68,
@@ -21,6 +21,26 @@ SHORT_MERGES = MERGES[:24]
 TRAIN_MERGES = 24
 TRAIN_STEP = 8
 
+# A run over many stored bases, stopped and resumed on the way.
+LONG_MERGES = 243
+LONG_STOP = 120
+
+# Put after texts by turns: white space of several kinds, overlapping specials, runs, rare characters.
+EDGES = [
+    "",
+    " ",
+    "  \u3000\u3000x",
+    "\u00a0\u00a0x \u00a0",
+    "a\u2028\u2028b\u0085\u0085c",
+    "aaaa aaaaa",
+    DELIMITER + DELIMITER + DELIMITER,
+    "<|" + DELIMITER + "|>",
+    "\t\n\r\n  the\n",
+    "\u0000\u007f\U0010ffff\U0001f600",
+    "'s'll 'T 12\u0664\u00bd",
+    "e\u0301\u200d\ufeff",
+]
+
 # A vocabulary with gaps: only the first merges have ids, and two bytes have none.
 KNOWN_MERGES = 12
 ABSENT_BYTES = ("0A", "C3")

@@ -6,7 +6,9 @@ from __future__ import annotations
 from pairloom.functions.text import DELIMITER
 from pairloom.plans.examples import (
     ABSENT_BYTES,
+    EDGES,
     KNOWN_MERGES,
+    LONG_MERGES,
     MERGES,
     SHORT_MERGES,
     SPECIALS,
@@ -27,12 +29,16 @@ def pretoken_list(text: str) -> str:
     return f"regexp_extract_all({marked}, '{PATTERN}')"
 
 
-DOC_TOKENS = f"""
-    doc_lists AS (SELECT doc_id, {pretoken_list("text")} AS list FROM documents),
+def row_tokens(table: str, key: str, text: str) -> str:
+    return f"""
+    doc_lists AS (SELECT {key} AS doc_id, {pretoken_list(text)} AS list FROM {table}),
     tokens AS (SELECT doc_id, unnest(list) AS pretoken,
                       generate_subscripts(list, 1) - 1 AS pos FROM doc_lists),
     counts AS (SELECT pretoken, count(*)::BIGINT AS n FROM tokens GROUP BY pretoken)"""
 
+
+DOC_TOKENS = row_tokens("documents", "doc_id", "text")
+
 _QUOTED = ", ".join(f"'{s}'" for s in SPECIALS)
 _ALTERNATION = "|".join(
     s.replace("|", r"\|") for s in sorted(SPECIALS, key=len, reverse=True)
@@ -146,6 +152,17 @@ STEPS = [*range(TRAIN_STEP, TRAIN_MERGES + 1, TRAIN_STEP)]
 TRAINED_VOCAB = f"""
     SELECT token_id, token_hex FROM vocab
     UNION ALL SELECT (rank + {N_SPECIALS + 256})::INT, l || r FROM merges"""
+# the trained tokenizer on its own words
+TRAINED_FOLDS = f"""
+    folds AS (SELECT pretoken, n, word, {SYMBOLS} AS list FROM counts
+              JOIN (SELECT word, replace(word, '|', '') AS bytes FROM rounds WHERE step = {TRAIN_MERGES})
+              ON bytes = {HEX}),
+    symbols AS (SELECT pretoken, unnest(list) AS token_hex,
+                       generate_subscripts(list, 1) AS sym_pos FROM folds)"""
+_EDGES = ", ".join("'" + e.replace("'", "''").replace("\0", "' || chr(0) || '") + "'" for e in EDGES)
+EDGE_TEXTS = f"""
+    chat AS (SELECT item_id AS chat_id, text || ([{_EDGES}])[item_id % {len(EDGES)} + 1] AS text
+             FROM benchmark)"""
 COUNTED_CHAT = f"""
     {CHAT_TOKENS}, {WORDS}"""
 
@@ -201,6 +218,23 @@ ORACLES: dict[str, str] = {
     ),
     "train_bpe": with_(DOC_TOKENS, WORDS, training(), select="SELECT rank, l, r FROM merges"),
     "train_resume": with_(DOC_TOKENS, WORDS, training(), select="SELECT rank, l, r FROM merges"),
+    "train_long": with_(
+        row_tokens("benchmark", "item_id", "text"),
+        WORDS,
+        training(LONG_MERGES),
+        select="SELECT rank, l, r FROM merges",
+    ),
+    "train_encode_decode": with_(
+        DOC_TOKENS,
+        WORDS,
+        training(),
+        vocabulary([], SPECIALS).replace("vocab(", "bytes_only("),
+        f"vocab AS ({TRAINED_VOCAB.replace('FROM vocab', 'FROM bytes_only')})",
+        TRAINED_FOLDS,
+        PIECES,
+        PIECE_LISTS,
+        select=DOC_IDS.replace("d.doc_id,", "d.doc_id, d.text,"),
+    ),
     "train_special": with_(COUNTED_CHAT, training(), select="SELECT rank, l, r FROM merges"),
     "train_without_special": with_(
         CHAT_TOKENS,
@@ -324,6 +358,25 @@ ORACLES: dict[str, str] = {
     "encode_fallback": with_(
         DOC_TOKENS, folded(SHORT_MERGES), PARTIAL_VOCAB, PIECES, PIECE_LISTS, select=DOC_IDS
     ),
+    "encode_pages": with_(
+        row_tokens("pages", "page_id", "html"),
+        folded(MERGES),
+        vocabulary(MERGES),
+        PIECES,
+        PIECE_LISTS,
+        select=f"""SELECT doc_id AS page_id, ids FROM ({DOC_IDS.replace(
+            "documents d", "(SELECT page_id AS doc_id FROM pages) d")})""",
+    ),
+    "encode_edges": with_(
+        CHAT_TOKENS.replace(CHAT, EDGE_TEXTS),
+        SPECIAL_FOLDS,
+        vocabulary(SHORT_MERGES, SPECIALS),
+        PIECES,
+        PIECE_LISTS,
+        select="""SELECT chat_id AS item_id, string_agg(ids, ',' ORDER BY seg_pos, pos) AS ids,
+                         any_value(chat.text) AS text
+                  FROM tokens JOIN lists USING (pretoken) JOIN chat USING (chat_id) GROUP BY chat_id""",
+    ),
     "special_counts": with_(
         CHAT_SEGMENTS,
         select=f"""SELECT special, count(segment)::BIGINT AS n

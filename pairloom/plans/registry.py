@@ -16,7 +16,10 @@ from pairloom.operators import vocab as voc
 from pairloom.operators.encode import special_counts as count_special
 from pairloom.plans.examples import (
     ABSENT_BYTES,
+    EDGES,
     KNOWN_MERGES,
+    LONG_MERGES,
+    LONG_STOP,
     MERGES,
     SHORT_MERGES,
     SPECIALS,
@@ -208,6 +211,26 @@ def train_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).merges
 
 
+def train_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of `benchmark`, over several stored bases, resumed on the way."""
+    path = work_dir(spark, "training")
+    items = corpus.read_table(spark, f"{sf_dir}/benchmark.parquet", "text")
+    size = 256 + len(SPECIALS)
+    train_bpe(
+        items, size + LONG_STOP, SPECIALS, save_progress=True, progress_interval=LONG_STOP, checkpoint_dir=path
+    )
+    return resume_training(spark, f"{path}/final", size + LONG_MERGES, save_progress=False).merges
+
+
+def train_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained, saved, loaded, then used on the text it was trained on."""
+    path = work_dir(spark, "tokenizer")
+    trained(spark, sf_dir).save(path)
+    tok = Tokenizer.load(spark, path)
+    encoded = tok.encode(documents(spark, sf_dir)).select("doc_id", "ids")
+    return tok.decode(encoded).select("doc_id", joined("ids"), "text")
+
+
 def _chat_training(spark: SparkSession, sf_dir: str) -> str:
     path = work_dir(spark, "training")
     train_bpe(
@@ -316,6 +339,21 @@ def encode_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partial_tokenizer(spark).encode(documents(spark, sf_dir)).select("doc_id", joined("ids"))
 
 
+def encode_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markup: long runs of punctuation and white space."""
+    pages = corpus.read_table(spark, f"{sf_dir}/pages.parquet", "page_id", "html")
+    return example_tokenizer(spark, MERGES).encode(pages, "html").select("page_id", joined("ids"))
+
+
+def encode_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each benchmark item with one of the edge cases after it, encoded and decoded."""
+    items = corpus.read_table(spark, f"{sf_dir}/benchmark.parquet", "item_id", "text")
+    edge = F.array(*map(F.lit, EDGES))[(F.col("item_id") % len(EDGES)).cast("int")]
+    tok = example_tokenizer(spark, SHORT_MERGES, SPECIALS)
+    encoded = tok.encode(items.select("item_id", F.concat("text", edge).alias("text")))
+    return tok.decode(encoded).select("item_id", joined("ids"), "text")
+
+
 def special_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each special token comes out of encoding."""
     tok = example_tokenizer(spark, SHORT_MERGES, SPECIALS)
@@ -418,6 +456,8 @@ QUERIES: dict[str, Query] = {
     "train_special": train_special,
     "train_without_special": train_without_special,
     "train_resume": train_resume,
+    "train_long": train_long,
+    "train_encode_decode": train_encode_decode,
     "vocab_build": vocab_build,
     "checkpoint_write": checkpoint_write,
     "training_history": training_history,
@@ -435,6 +475,8 @@ QUERIES: dict[str, Query] = {
     "encode_tokens": encode_tokens,
     "encode_special": encode_special,
     "encode_fallback": encode_fallback,
+    "encode_pages": encode_pages,
+    "encode_edges": encode_edges,
     "special_counts": special_counts,
     "decode_docs": decode_docs,
     "decode_tokens": decode_tokens,

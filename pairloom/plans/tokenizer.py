@@ -13,6 +13,7 @@ from pairloom.functions.symbols import MAX_SYMBOLS
 from pairloom.functions.text import clean_specials
 from pairloom.operators import decode, encode
 from pairloom.operators.vocab import add_specials, reverse_vocab
+from pairloom.sources import checkpoints, tokenizer_files
 
 MERGE_SCHEMA = "rank int, l string, r string"
 
@@ -49,6 +50,43 @@ class Tokenizer:
             vocab = vocab.withColumn("ins_order", F.col("token_id"))
         return cls(add_specials(vocab, specials), merges, tuple(specials))
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Tokenizer:
+        """What `save` wrote, or the tokenizer in a training checkpoint."""
+        return cls(*checkpoints.read_tables(spark, path))
+
+    @classmethod
+    def from_files(
+        cls,
+        spark: SparkSession,
+        vocab_path: str,
+        merges_path: str,
+        special_tokens: Sequence[str] | None = None,
+        *,
+        gpt2: bool = False,
+    ) -> Tokenizer:
+        """From a JSON vocabulary and a merge file, in the literal or the GPT-2 format."""
+        if gpt2:
+            vocab = tokenizer_files.load_gpt2_vocab(spark, vocab_path, special_tokens)
+            merges = tokenizer_files.load_gpt2_merges(spark, merges_path)
+        else:
+            vocab = tokenizer_files.load_vocab(spark, vocab_path)
+            merges = tokenizer_files.load_merges(spark, merges_path)
+        return cls.build(vocab, merges, special_tokens)
+
+    def save(self, path: str) -> None:
+        """As Parquet tables below `path`; nothing is lost."""
+        checkpoints.write_tables(path, self.merges, self.vocab, self.special_tokens)
+
+    def save_files(self, vocab_path: str, merges_path: str, *, gpt2: bool = False) -> None:
+        """As a JSON vocabulary and a merge file; special tokens are not marked as such in them."""
+        if gpt2:
+            tokenizer_files.save_gpt2_vocab(self.vocab, vocab_path)
+            tokenizer_files.save_gpt2_merges(self.merges, merges_path)
+        else:
+            tokenizer_files.save_vocab(self.vocab, vocab_path)
+            tokenizer_files.save_merges(self.merges, merges_path)
+
     @cached_property
     def merge_list(self) -> list[tuple[str, str]]:
         rows = bounded_collect(self.merges.select("rank", "l", "r"), "merges")

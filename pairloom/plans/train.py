@@ -19,7 +19,7 @@ from pairloom.operators.pairs import coded_pair_counts
 from pairloom.operators.pretokenize import word_counts
 from pairloom.operators.vocab import build_vocab
 from pairloom.plans.tokenizer import Tokenizer, merge_table
-from pairloom.session import work_dir
+from pairloom.session import remove_folder, work_dir
 from pairloom.sources import checkpoints
 
 TOP_PAIRS = 1024
@@ -173,6 +173,7 @@ class MergeLearner:
     def close(self) -> None:
         self.base_words.unpersist()
         self.base_pairs.unpersist()
+        remove_folder(self.spark, self.dir)
 
 
 def learn_merges(words: DataFrame, num_merges: int) -> list[tuple[str, str]]:
@@ -258,7 +259,7 @@ def resume_training(
     specials = list(saved.specials)
     if saved.vocab_size >= target_vocab_size:
         return Tokenizer(saved.vocab, saved.merges, tuple(specials))
-    merges = [(r["l"], r["r"]) for r in saved.merges.orderBy("rank").collect()]
+    merges = Tokenizer(saved.vocab, saved.merges).merge_list
     parent = checkpoint_path.rstrip("/").rsplit("/", 1)[0]
     return _finish(
         MergeLearner(saved.words, merges),

@@ -32,3 +32,9 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """A new path for one run's tables."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables this package wrote; nothing happens if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

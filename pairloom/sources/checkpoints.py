@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.vocab import SPECIAL_SCHEMA
+from pairloom.session import remove_folder
 
 META_SCHEMA = "merge_count int, vocab_size int, num_merges int"
 
@@ -35,8 +36,9 @@ def write_checkpoint(
     merge_count: int,
     vocab_size: int,
 ) -> None:
-    """Metadata goes last, so a checkpoint that has it is whole."""
+    """Metadata goes last, and first when a checkpoint is written anew: one that has it is whole."""
     spark = words.sparkSession
+    remove_folder(spark, f"{path}/meta")
     words.write.mode("overwrite").parquet(f"{path}/words")
     write_tables(path, merges, vocab, specials)
     meta = [(merge_count, vocab_size, merge_count)]

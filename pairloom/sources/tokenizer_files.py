@@ -127,32 +127,43 @@ def _json_entries(spark: SparkSession, path: str) -> DataFrame:
     ).select("pos", "entry.key", "entry.value")
 
 
-def load_vocab(spark: SparkSession, path: str) -> DataFrame:
-    """(token_id, token_hex, ins_order) from JSON id -> token; entries that do not parse are left out."""
+def parsed_vocab(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, key, value, token_id, token_hex) from JSON id -> token; a null marks a rejected entry."""
     literal = F.col("value").startswith("b'") | F.col("value").startswith('b"')
-    rows = _json_entries(spark, path).select(
+    return _json_entries(spark, path).select(
+        "pos",
+        "key",
+        "value",
         F.expr("try_cast(trim(key) as int)").alias("token_id"),
         F.when(literal, parse_bytes("value"))
         .otherwise(F.hex(F.encode("value", "UTF-8")))
         .alias("token_hex"),
-        "pos",
     )
+
+
+def load_vocab(spark: SparkSession, path: str) -> DataFrame:
+    """(token_id, token_hex, ins_order); rejected entries are left out (`parsed_vocab` shows them)."""
     return (
-        rows.where("token_id is not null and token_hex is not null")
+        parsed_vocab(spark, path).where("token_id is not null and token_hex is not null")
         .groupBy("token_id")  # a repeated key keeps its first place and its last value
         .agg(F.max_by("token_hex", "pos").alias("token_hex"), F.min("pos").alias("ins_order"))
     )
 
 
-def load_gpt2_merges(spark: SparkSession, path: str) -> DataFrame:
-    """(rank, l, r) from lines of two tokens; other lines are left out."""
+def parsed_gpt2_merges(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, line, l, r) for the lines that are not blank; l is null where one is rejected."""
     parts = F.split(F.rtrim("line"), " ")
-    rows = _lines(spark, path).where(F.size(parts) == 2)
-    return _ranked(
-        rows.select("line_no", shown_to_hex(parts[0]).alias("l"), shown_to_hex(parts[1]).alias("r"))
+    sides = [F.when(F.size(parts) == 2, shown_to_hex(F.get(parts, i))) for i in (0, 1)]
+    return _lines(spark, path).where(F.trim("line") != "").select(
+        "line_no", "line", sides[0].alias("l"), sides[1].alias("r")
     )
 
 
+def load_gpt2_merges(spark: SparkSession, path: str) -> DataFrame:
+    """(rank, l, r) from lines of two tokens; others are left out (`parsed_gpt2_merges` shows them)."""
+    return _ranked(parsed_gpt2_merges(spark, path).where("l is not null"))
+
+
 def load_gpt2_vocab(
     spark: SparkSession, path: str, specials: Sequence[str] | None = None
 ) -> DataFrame:

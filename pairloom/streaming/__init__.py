@@ -1,4 +1,10 @@
 """Structured Streaming jobs."""
-from pairloom.streaming.jobs import encode_stream, merge_stream_counts, pretoken_counts_stream
 
-__all__ = ["encode_stream", "merge_stream_counts", "pretoken_counts_stream"]
+from pairloom.streaming.jobs import (
+    compact_stream_counts,
+    encode_stream,
+    merge_stream_counts,
+    pretoken_counts_stream,
+)
+
+__all__ = ["compact_stream_counts", "encode_stream", "merge_stream_counts", "pretoken_counts_stream"]

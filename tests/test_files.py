@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.text import DELIMITER
 from pairloom.operators.pretokenize import pretoken_counts
-from pairloom.plans.tokenizer import merge_table
+from pairloom.plans.examples import SPECIALS
+from pairloom.plans.registry import example_tokenizer as tokenizer_of
+from pairloom.plans.tokenizer import Tokenizer, merge_table
+from pairloom.plans.train import train_bpe
 from pairloom.sources import checkpoints, corpus, tokenizer_files
-from pairloom.streaming import encode_stream, merge_stream_counts, pretoken_counts_stream
+from pairloom.streaming import compact_stream_counts, encode_stream, merge_stream_counts, pretoken_counts_stream
 
 VOCAB = "token_id int, token_hex string, ins_order int"
 
@@ -166,3 +169,64 @@ def test_equal_bytes_keep_the_last_id(spark, tmp_path):
     tokenizer_files.save_gpt2_vocab(vocab, f"{tmp_path}/vocab")
     got = tokenizer_files.load_gpt2_vocab(spark, f"{tmp_path}/vocab").collect()
     assert {(r["token_id"], r["token_hex"]) for r in got} == {(1, "62"), (2, "61")}
+
+
+def test_rejected_entries_are_listed(spark, tmp_path):
+    (tmp_path / "vocab.json").write_text(json.dumps({"0": "a", "x": "b", "2": "b'oops"}))
+    bad = tokenizer_files.parsed_vocab(spark, f"{tmp_path}/vocab.json").where("token_id is null or token_hex is null")
+    assert [r["key"] for r in bad.orderBy("pos").collect()] == ["x", "2"]
+    (tmp_path / "merges.txt").write_text("a b\n\na b c\nd\nab c\n")
+    bad = tokenizer_files.parsed_gpt2_merges(spark, f"{tmp_path}/merges.txt").where("l is null")
+    assert [r["line"] for r in bad.orderBy("line_no").collect()] == ["a b c", "d"]
+
+
+def test_tokenizer_comes_back_from_its_files(spark, tmp_path):
+    tok = tokenizer_of(spark, [("74", "68"), ("20", "7468"), ("C3", "A9")], SPECIALS)
+    docs = spark.createDataFrame([(1, f"then the {SPECIALS[0]} th\u00e9 \u00fc"), (2, "")], "doc_id int, text string")
+    want = sorted(map(str, tok.encode(docs).collect()))
+    tok.save(str(tmp_path / "tables"))
+    found = [Tokenizer.load(spark, str(tmp_path / "tables"))]
+    for gpt2 in (False, True):
+        paths = [str(tmp_path / f"{name}-{gpt2}") for name in ("vocab.json", "merges.txt")]
+        tok.save_files(*paths, gpt2=gpt2)
+        found.append(Tokenizer.from_files(spark, *paths, SPECIALS, gpt2=gpt2))
+    for other in found:
+        assert sorted(map(str, other.encode(docs).collect())) == want
+
+
+def test_training_leaves_no_work_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("pairloom.session.shared_dir", lambda _: str(tmp_path))
+    train_bpe(spark.createDataFrame([("then the thing",)], "text string"), 260)
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_stream_counts_are_compacted(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    source, path = str(tmp_path / "source"), str(tmp_path / "counts")
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet
+
+    def arrive(part):
+        docs.where(F.col("doc_id") % 4 == part).coalesce(1).write.mode("append").parquet(source)
+        pretoken_counts_stream(stream(source), path).awaitTermination()
+
+    def same(parts):
+        want = pretoken_counts(docs.where(F.col("doc_id") % 4 < parts))
+        got = merge_stream_counts(spark, path)
+        return got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+    for part in range(3):
+        arrive(part)
+    assert same(3)
+    assert compact_stream_counts(spark, path) == 1 and same(3)
+    assert compact_stream_counts(spark, path) is None
+    arrive(3)
+    assert compact_stream_counts(spark, path) == 2 and same(4)
+    left = sorted(p.name for kind in ("parts", "base") for p in (tmp_path / "counts" / kind).iterdir())
+    assert left == ["batch_id=2", "batch_id=3", "upto=1", "upto=2"]
+    # the last batch is run again, and a compaction was cut off
+    spark.read.parquet(f"{path}/parts/batch_id=3").write.parquet(str(tmp_path / "copy"))
+    again = spark.read.parquet(str(tmp_path / "copy"))
+    again.write.mode("overwrite").parquet(f"{path}/parts/batch_id=3")
+    again.limit(1).write.parquet(f"{path}/base/upto=9")
+    (tmp_path / "counts/base/upto=9/_SUCCESS").unlink()
+    assert same(4)

@@ -18,6 +18,7 @@ each. Empty tables give no rows.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -38,6 +39,9 @@ BUCKET_ROWS = 1 << 16
 
 # Fixed value: the pattern that splits text before the merges of this tokenizer file.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: the characters that are \s in that pattern. Its engine keeps a state for each of them in
+# a run and gives up on about a million, so long runs are cut out before.
+LONG_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
 
 # -- token ids
@@ -65,9 +69,28 @@ class TextIds:
     def __init__(self, ranks: dict[bytes, int], specials: dict[str, int]):
         self.encoding = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=specials)
         self.specials = set(specials)
+        self.special = re.compile("|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True)) or r"(?!)")
+
+    def _with_long_spaces(self, text: str) -> list[int]:
+        """A run of spaces is one pretoken, but for its last character where the text goes on."""
+        ids, at = [], 0
+        for special in [*self.special.finditer(text), None]:
+            end = special.start() if special else len(text)
+            for run in LONG_SPACES.finditer(text, at, end):
+                cut = run.end() if run.end() == end else run.end() - 1
+                ids += self.encoding.encode_ordinary(text[at : run.start()])
+                ids += self.encoding._encode_single_piece(text[run.start() : cut])
+                at = cut
+            ids += self.encoding.encode_ordinary(text[at:end])
+            if special:
+                ids.append(self.encoding.encode_single_token(special[0]))
+                at = special.end()
+        return ids
 
     def of(self, text: str) -> bytes:
-        if any(s in text for s in self.specials):
+        if LONG_SPACES.search(text):
+            ids = self._with_long_spaces(text)
+        elif any(s in text for s in self.specials):
             ids = self.encoding.encode(text, allowed_special=self.specials, disallowed_special=())
         else:
             ids = self.encoding.encode_ordinary(text)

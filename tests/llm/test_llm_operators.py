@@ -354,6 +354,17 @@ def test_special_tokens_and_odd_spaces_encode_like_the_library():
         assert np.frombuffer(ids_of.of(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_long_runs_of_spaces_encode_like_the_library():
+    ids_of = packing.TextIds(*packing.read_ranks(TOKENIZER))
+    library = Tokenizer.from_file(TOKENIZER)
+    same = lambda text: np.frombuffer(ids_of.of(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert same("a" + " " * 2_000_000 + "b")
+    rng = random.Random(3)
+    runs = [" " * 1200, "\n" * 1001, " \t" * 700, "\u3000" * 1100, " \x85" * 500 + "\xa0", "\x1c" * 1100]
+    for _ in range(60):
+        assert same("".join(rng.choice([*runs, "a", " ", "\n", "'s", "1", ",", "é", "<|endoftext|>", "word"]) for _ in range(rng.randrange(9))))
+
+
 def test_plan_uses_up_any_histogram():
     rng = np.random.default_rng(1)
     for full in (8, 64):

@@ -445,3 +445,14 @@ def test_main_text(spark):
     assert got[5].count("\n") == 2  # nothing repeats on its host
     assert got[3] == got[4] == got[8] == "" and got[None] == "a" and got[7] == "a\n<" or got[7] == "a<"
     assert got[9] == "in\nout"
+
+
+@pytest.mark.parametrize("open_", ['<body class="has-sidebar">', '<body class="no-comments sidebar">', '<div id="page" class="with-footer">', '<div class="modal">', '<article class="post sharing-on">', '<article class="post widget">', '<main class="social">'])
+def test_class_names_do_not_hide_an_article(open_):
+    tag = open_[1:].split()[0]
+    inner = "<p>the whole story</p>" if tag in ("article", "main") else "<article><p>the whole story</p></article>"
+    page = f'{open_}{inner}<div class="sidebar">side</div><div class="ad-banner">buy</div></{tag}>'
+    assert [b for b in html_text.blocks(page) if b[1] == "main"] == [("the whole story", "main")]
+    # beside a longer article that is not named so, a named one is furniture
+    teaser = '<div class="sidebar"><article>read on</article></div><article>a<p class="no-comments">b c d</p><div id="comments"><article class="comment">I say</article></div></article>'
+    assert [b for b in html_text.blocks(teaser) if b[1] == "main"] == [("a", "main"), ("b c d", "main")]

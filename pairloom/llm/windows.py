@@ -124,9 +124,8 @@ def _windows_task(streams_of: StreamsOf, size: int, part: int, sketch, slots: in
     return run
 
 
-def repeated_windows(rows: DataFrame, streams_of: StreamsOf, *, size: int, part: int, slots: int = SLOTS) -> DataFrame:
-    """(owner, row, at, first_owner): windows that also occur for another owner of their scope, with the
-    smallest owner they occur for. All such windows are there whose minimizer is in several contents."""
+def shared_windows(rows: DataFrame, streams_of: StreamsOf, *, size: int, part: int, slots: int = SLOTS) -> DataFrame:
+    """(h1, h2, owner, row, at), stored: the windows whose minimizer is in several contents."""
     parts = rows.mapInArrow(_minimizers_task(streams_of, size, part), "token bigint, content bigint")
     shared = (
         parts.groupBy("token")
@@ -135,12 +134,18 @@ def repeated_windows(rows: DataFrame, streams_of: StreamsOf, *, size: int, part:
         .select(slot_of(F.col("token"), slots).alias("slot"), F.lit(1).alias("level"))
     )
     sketch = rows.sparkSession.sparkContext.broadcast(collect_slots(shared, slots))
-    windows = stored(
+    return stored(
         rows.mapInArrow(
             _windows_task(streams_of, size, part, sketch, slots), "h1 bigint, h2 int, owner bigint, row int, at int"
         ),
         "windows",
     )
+
+
+def repeated_windows(rows: DataFrame, streams_of: StreamsOf, *, size: int, part: int, slots: int = SLOTS) -> DataFrame:
+    """(owner, row, at, first_owner): windows that also occur for another owner of their scope, with the
+    smallest owner they occur for. All such windows are there whose minimizer is in several contents."""
+    windows = shared_windows(rows, streams_of, size=size, part=part, slots=slots)
     known = (
         windows.groupBy("h1", "h2")
         .agg(F.min("owner").alias("first_owner"), F.max("owner").alias("hi"))

@@ -456,3 +456,20 @@ def test_class_names_do_not_hide_an_article(open_):
     # beside a longer article that is not named so, a named one is furniture
     teaser = '<div class="sidebar"><article>read on</article></div><article>a<p class="no-comments">b c d</p><div id="comments"><article class="comment">I say</article></div></article>'
     assert [b for b in html_text.blocks(teaser) if b[1] == "main"] == [("a", "main"), ("b c d", "main")]
+
+
+def main_texts(spark, pages):
+    found = html_text.extract_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    return {r["page_id"]: r["text"] for r in found.collect()}
+
+
+def test_copies_and_quotations_keep_their_text(spark):
+    page = "<div>the long menu of this site</div><p>{0} is what we say of {0} and no more</p>{1}<div>{2}</div>"
+    quote = "to be or not to be that is the question"
+    pages = [(i, "http://h.com/", page.format(f"n{i} m{i}", f"<p>{quote}</p>" if i < 2 else "", "")) for i in range(12)]
+    pages += [(20, "http://h.com/print", pages[0][2]), (21, "http://h.com/2", pages[0][2].replace("<p>", "<div>"))]
+    pages += [(30 + i, "http://c.com/", "<p>one text that is on two pages of a host</p>") for i in range(2)]
+    got = main_texts(spark, pages)
+    assert got[0] == got[20] == got[21] == f"n0 m0 is what we say of n0 m0 and no more\n{quote}"
+    assert got[1].endswith(quote) and got[5] == "n5 m5 is what we say of n5 m5 and no more"
+    assert got[30] == got[31] == "one text that is on two pages of a host"

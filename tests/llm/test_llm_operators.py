@@ -473,3 +473,16 @@ def test_copies_and_quotations_keep_their_text(spark):
     assert got[0] == got[20] == got[21] == f"n0 m0 is what we say of n0 m0 and no more\n{quote}"
     assert got[1].endswith(quote) and got[5] == "n5 m5 is what we say of n5 m5 and no more"
     assert got[30] == got[31] == "one text that is on two pages of a host"
+
+
+def test_the_parse_says_which_pages_have_main_text(spark):
+    menu, foot = "<div>the long menu of this whole site here</div>", "<div>the same foot line on every page</div>"
+    bodies = ["<script>'<main>'</script>", "<!-- <article > -->", "<aside><article>side</article></aside>", "<div role=search>main</div>"]
+    pages = [(i, "http://h.com/", f"{menu}{b}<p>text {i}</p>{foot}") for i, b in enumerate(bodies)]
+    pages += [(10, "http://h.com/", f"{menu}<DIV ROLE='Main'>all of it</DIV>{foot}")]
+    pages += [(11, "http://h.com/", f"{menu}<article>read more</article><p>{' '.join(f'w{i}' for i in range(30))}</p>{foot}")]
+    pages += [(12, "http://h.com/", f"{menu}<article>a b c d e f g h i</article>{menu}{foot}<p>j</p>")]
+    got = main_texts(spark, pages)
+    assert [got[i] for i in range(4)] == [f"text {i}" for i in range(4)]
+    assert got[10] == "all of it" and got[11].startswith("read more\nw0 w1") and got[11].endswith("w29")
+    assert got[12] == "a b c d e f g h i"

@@ -2,15 +2,16 @@
 
 Rules (host suffix and path prefix) come first; the longest that fits decides, and the pages they
 decide are the labelled examples. All other pages are judged by the tree of their host: path segments
-get a shape (numbers, hex words), segments of a node with too many different values become a wildcard,
-and branches of one node are merged where they are statistically similar, that is if their labelled
-block rates and their shares of pages that end there do not differ from the node's by more than a
-Hoeffding bound. A template is rejected if its labelled purity, smoothed by the overall block rate (a half
-at most), is `REJECT` or more.
+get a shape (numbers, hex words). Branches of one node are merged to a wildcard if they are rare (few
+pages, and surely a small share of the node's) and statistically similar, that is if their shares of
+blocked pages and of pages that end there do not differ from the node's by more than a Hoeffding bound.
+Frequent segments stay apart, however many there are. A template is rejected if its purity, the share
+of all its pages that a rule blocks, smoothed by the overall block rate (a half at most), is `REJECT`
+or more: pages without a label count against it.
 
 The tree is built level by level from counts for (host, shaped path), which are combined before the
-shuffle; a hot host is a row for each of its paths, never its pages. Segments beyond `DEPTH` are one
-last segment.
+shuffle; a hot host is a row for each of its paths, never its pages. Levels end where no two paths share a
+node, as a single path has nothing to merge with.
 
 Nulls: a null url, or one without ://, has an empty host and path; no rule fits an empty host. Equal
 urls get equal verdicts. Empty tables give no rows.
@@ -19,6 +20,7 @@ urls get equal verdicts. Empty tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.common import stored
 
-DEPTH = 4
-MANY = 12  # different values of a segment beside each other that make it a wildcard
+FREQUENT = 0.1  # share of a node's pages that a variable segment is surely below
+SPREAD = 0.2  # a segment with so many pages that their rates are known as well as this stands for itself
 SMOOTHING = 4.0
 REJECT = 0.7
 DOUBT = 0.05  # chance of keeping similar branches apart
@@ -56,12 +58,9 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]])
 
 
 def shaped(path: Column) -> Column:
-    """ARRAY<STRING>: at most DEPTH segments, numbers and hex words by their shape only."""
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    rest = F.array_join(F.slice(parts, DEPTH, 1 << 30), "/")
-    cut = F.when(F.size(parts) <= DEPTH, parts).otherwise(F.concat(F.slice(parts, 1, DEPTH - 1), F.array(rest)))
+    """ARRAY<STRING>: the segments, numbers and hex words by their shape only."""
     return F.transform(
-        cut,
+        F.filter(F.split(path, "/"), lambda s: s != ""),
         lambda s: F.regexp_replace(
             F.regexp_replace(s, r"(?<![0-9a-z])(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{8,}(?![0-9a-z])", "{hex}"),
             r"[0-9]+",
@@ -76,30 +75,32 @@ def _bound(n: Column) -> Column:
 
 def template_tree(counts: DataFrame) -> DataFrame:
     """(host, shape, template) for each (host, shape, pages, labelled, blocked)."""
-    tree = counts.withColumn("template", F.array().cast("array<string>"))
-    for level in range(DEPTH):
+    start = counts.withColumn("template", F.array().cast("array<string>"))
+    done, left, level = [start.where(F.size("shape") == 0)], start.where(F.size("shape") > 0), 0
+    while not left.isEmpty():
         here = F.get("shape", F.lit(level))
-        child = tree.where(here.isNotNull()).groupBy("host", "template", here.alias("segment")).agg(
-            *[F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")],
+        child = left.groupBy("host", "template", here.alias("segment")).agg(
+            *[F.sum(c).alias(c) for c in ("pages", "blocked")],
             F.sum(F.when(F.size("shape") == level + 1, F.col("pages")).otherwise(0)).alias("ends"),
+            F.count(F.lit(1)).alias("paths"),
         )
-        node = child.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("values"),
-            *[F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "blocked", "ends")],
+        node = child.groupBy("host", "template").agg(*[F.sum(c).alias(f"all_{c}") for c in ("pages", "blocked", "ends", "paths")])
+        pages, all_pages = F.col("pages"), F.col("all_pages")
+        same = lambda of: F.abs(F.col(of) / pages - F.col(f"all_{of}") / all_pages) <= _bound(pages) + _bound(all_pages)
+        # the upper limit of a Poisson count, about 97.5 %
+        rare = (_bound(pages) > SPREAD) & (pages + 2 + 2 * F.sqrt(pages + 1) < FREQUENT * all_pages)
+        becomes = F.when(rare & same("blocked") & same("ends"), "*").otherwise(F.col("segment"))
+        step = child.join(node, ["host", "template"]).select(
+            "host", "template", "segment", becomes.alias("becomes"), (F.col("all_paths") == 1).alias("alone")
         )
-        rate = lambda of, n: F.abs(F.col(of) / F.col(n) - F.col(f"all_{of}") / F.col(f"all_{n}")) <= _bound(F.col(n)) + _bound(F.col(f"all_{n}"))
-        similar = (
-            (F.col("labelled") > 0)
-            & (F.col("labelled") < F.col("all_labelled"))
-            & rate("blocked", "labelled")
-            & rate("ends", "pages")
-        )
-        becomes = F.when((F.col("values") > MANY) | F.coalesce(similar, F.lit(False)), "*").otherwise(F.col("segment"))
-        step = child.join(node, ["host", "template"]).select("host", "template", "segment", becomes.alias("becomes"))
-        joined = tree.withColumn("segment", here).join(step, ["host", "template", "segment"], "left")
-        grown = F.when(F.col("becomes").isNull(), F.col("template")).otherwise(F.concat("template", F.array("becomes")))
-        tree = stored(joined.select(*counts.columns, grown.alias("template")), "url-tree")
-    return tree
+        joined = left.withColumn("segment", here).join(step, ["host", "template", "segment"])
+        rest = F.slice("shape", F.lit(level + 1), F.size("shape"))
+        grown = F.concat("template", F.when(F.col("alone"), rest).otherwise(F.array("becomes")))
+        finished = F.col("alone") | (F.size("shape") == level + 1)
+        tree = stored(joined.select(*counts.columns, grown.alias("template"), finished.alias("finished")), "url-tree")
+        done.append(tree.where("finished").drop("finished"))
+        left, level = tree.where("not finished").drop("finished"), level + 1
+    return reduce(DataFrame.unionByName, done)
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
@@ -121,7 +122,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
     prior = min(total["blocked"] / total["n"], 0.5) if total["n"] else 0.0
     tree = template_tree(counts)
     purity = tree.groupBy("host", "template").agg(
-        ((F.sum("blocked") + SMOOTHING * prior) / (F.sum("labelled") + SMOOTHING)).alias("purity")
+        ((F.sum("blocked") + SMOOTHING * prior) / (F.sum("pages") + SMOOTHING)).alias("purity")
     )
     judged = stored(
         tree.join(purity, ["host", "template"]).select(

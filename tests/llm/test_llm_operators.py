@@ -163,6 +163,23 @@ def test_url_filter(spark):
     assert url_filter.judge(pages.limit(0), rules).count() == 0
 
 
+def test_url_templates_do_not_depend_on_the_number_of_siblings(spark):
+    rules = [("block", "net/es/"), ("block", "net/fr/"), ("block", "org/x/y/")]
+    first = ["es", "fr", "en", "de", *"abcdefghijk"]
+    urls = [f"http://h.net/{f}/{i}" for f in first for i in range(60 if f in ("es", "fr") else 50)]
+    rare = [f"http://h.net/en/p/{''.join(chr(97 + int(d)) for d in str(i))}" for i in range(100)]
+    deep = [f"http://d.org/x/{s}/1/2/3/4/{i}" for s in ("y", "z") for i in range(50)] + ["http://e.org/" + "s/" * 300]
+    every = urls + rare + deep
+    pages = spark.createDataFrame(list(enumerate(every)), "page_id long, url string")
+    got = {every[r["page_id"]]: r for r in url_filter.judge(pages, rules).collect()}
+    for url in urls:
+        assert got[url]["verdict"] == ("block" if "/es/" in url or "/fr/" in url else "allow"), url
+    assert got["http://h.net/en/7"]["template"] == "/en/{n}"
+    assert {got[u]["template"] for u in rare} == {"/en/p/*"}
+    assert got["http://d.org/x/z/1/2/3/4/5"]["template"] == "/x/z/{n}/{n}/{n}/{n}/{n}"
+    assert got["http://d.org/x/z/1/2/3/4/5"]["verdict"] == "allow" and got[deep[-1]]["template"] == "/" + "/".join("s" * 300)
+
+
 def links_by_hand(rows, n, percent):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = []

@@ -143,8 +143,8 @@ def _postings_task(sketch, slots: int):
     return run
 
 
-def _tokens_task(size: int, wanted, slots: int):
-    """Whole sets of the documents whose id falls on a wanted place."""
+def _tokens_task(size: int, wanted, slots: int, without_id: bool):
+    """Whole sets of the documents whose id falls on a wanted place, and of those without an id if asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = dense(wanted.value, slots).astype(bool)
@@ -153,7 +153,7 @@ def _tokens_task(size: int, wanted, slots: int):
             for batch in batches:
                 ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
                 mask = here[(mixed(ids.view(np.uint64)) & np.uint64(slots - 1)).astype(np.int64)]
-                yield batch.filter(pa.array(mask & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
+                yield batch.filter(pa.array(np.where(batch.column(0).is_valid().to_numpy(zero_copy_only=False), mask, without_id)))
 
         for _, sets in _sets(chosen(), size):
             sets = [s for s in sets if len(s)]
@@ -255,11 +255,13 @@ class NgramJoin:
         )
         near = stored(near, "ngram-pairs")
         involved = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-        ids = involved.join(self.sets, "node").select("first_id").where("first_id is not null")
+        first = involved.join(self.sets, "node").select("first_id")
+        ids = first.where("first_id is not null")
+        without_id = not first.where("first_id is null").isEmpty()  # a set that only rows without an id have
         wanted = self.spark.sparkContext.broadcast(
             collect_slots(ids.mapInArrow(_slots_task(SLOTS), "slot int, level tinyint"), SLOTS)
         )
-        tokens = self.docs.mapInArrow(_tokens_task(self.size, wanted, SLOTS), SETS)
+        tokens = self.docs.mapInArrow(_tokens_task(self.size, wanted, SLOTS, without_id), SETS)
         tokens = stored(
             tokens.join(involved, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens")),
             "ngram-tokens",

@@ -237,6 +237,14 @@ def test_ngram_components_inside_one_group(spark):
     assert Counter(tuple(r) for r in found.collect()) == links_by_hand(rows, 1, 80)
 
 
+def test_ngram_components_through_a_text_without_an_id(spark):
+    words = [f"v{i}" for i in range(40)]
+    rows = [(7, " ".join(words[:30])), (None, " ".join(words[3:33])), (9, " ".join(words[6:36])), (3, "other words")]
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), size=3, percent=80)
+    assert Counter(tuple(r) for r in got.collect()) == links_by_hand(rows, 3, 80)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {7: 7, None: 7, 9: 7, 3: 3}
+
+
 def test_keep_one_each(docs, nothing, rows):
     kept = ngram_join.keep_one_each(docs)
     assert kept.columns == docs.columns

@@ -23,7 +23,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import PUNCTUATION, SPACES, WordHasher, by_bytes, list_array, mixed, text_bytes
+from pairloom.llm.common import (
+    PUNCTUATION,
+    SPACES,
+    WordHasher,
+    by_bytes,
+    gram_hashes,
+    list_array,
+    mixed,
+    stored,
+    text_bytes,
+)
 
 MAX_POSITIVE = 12_000
 MAX_UNLABELLED = 24_000
@@ -53,56 +63,80 @@ def fold(doc_id: str | Column) -> Column:
 
 
 def _features_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word places of each text, and a key that near copies share: a hash of the smallest word hashes."""
     words = Words()
-    for batch in by_bytes(batches, 0):
-        rows = words.features(batch.column(0))
+    for batch in by_bytes(batches, 1):
+        rows = words.features(batch.column(1))
         values = np.concatenate(rows) if rows else np.empty(0, np.int32)
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        least = (np.sort(mixed(r.astype(np.uint64)))[:COPY_KEY] for r in rows)
+        keys = np.array([gram_hashes(k, len(k))[0] if len(k) else 0 for k in least], np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [list_array(values, np.fromiter(map(len, rows), np.int64, len(rows)), pa.int32())], names=["words"]
+            [batch.column(0), list_array(values, lengths, pa.int32()), pa.array(keys.view(np.int64))],
+            names=["positive", "words", "key"],
         )
 
 
-def _features(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Word places of a bounded sample, one after another, and how many each text has."""
-    column = texts.mapInArrow(_features_task, "words array<int>").toArrow().column("words").combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int32()))
+def _sample(positive: DataFrame, unlabelled: DataFrame) -> DataFrame:
+    """(positive, key, words) of the training texts without near copies (texts whose smallest word hashes
+    agree), which would make the words of one copied text look like a trait of all."""
+    texts = positive.select(F.lit(True).alias("positive"), "text").unionAll(
+        unlabelled.select(F.lit(False).alias("positive"), "text")
+    )
+    rows = texts.mapInArrow(_features_task, "positive boolean, words array<int>, key bigint")
+    apart = rows.groupBy("positive", "key").agg(F.min_by("words", F.struct(F.size("words"), F.hash("words"))).alias("words"))
+    return stored(apart, "toxicity-sample")
+
+
+def _telling(sample: DataFrame, n_positive: int, n_unlabelled: int) -> np.ndarray:
+    """Places of the words that positives hold clearly more often, counted in Spark."""
+    usual = F.col("u") * (n_positive / max(n_unlabelled, 1))
+    counts = (
+        sample.select("positive", F.explode("words").alias("place"))
+        .groupBy("place")
+        .agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u"))
+        .where((F.col("p") >= LEAST_POSITIVES) & (F.col("p") - usual >= CLEARLY * F.sqrt(usual + 0.5)))
+    )
+    return np.sort(counts.select("place").toArrow().column("place").to_numpy()).astype(np.int64)
+
+
+def _columns_task(places: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(2)
+            of = words.flatten().to_numpy()
+            at = np.minimum(np.searchsorted(places, of), len(places) - 1)
+            known = places[at] == of
+            row = np.repeat(np.arange(batch.num_rows), np.diff(words.offsets.to_numpy()))[known]
+            lengths = np.bincount(row, minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], list_array(at[known].astype(np.int32), lengths, pa.int32())],
+                names=["positive", "key", "words"],
+            )
+
+    return run
+
+
+def _sparse(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """(column, row) of each word that tells, and the number of rows: what reaches the driver."""
+    column = rows.select("key", "words").toArrow().sort_by("key").column("words").combine_chunks()
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
     lengths = np.diff(column.offsets.to_numpy())
-    return column.flatten().to_numpy(), lengths
-
-
-def _apart(sample: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The sample without near copies (texts whose smallest word hashes agree), which would make the
-    words of one copied text look like a trait of all."""
-    words, lengths = sample
-    hashes = mixed(words.astype(np.uint64))
-    ends = np.cumsum(lengths)
-    seen: set[bytes] = set()
-    keep = np.zeros(len(lengths), bool)
-    for i, (start, end) in enumerate(zip(ends - lengths, ends)):
-        key = np.sort(hashes[start:end])[:COPY_KEY].tobytes()
-        keep[i] = key not in seen
-        seen.add(key)
-    return words[np.repeat(keep, lengths)], lengths[keep]
-
-
-def fit(positive, unlabelled, prior: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """(places, weights, bias). Words get a weight if positives hold them clearly more often."""
-    if len(positive[1]) == 0:
+    return column.flatten().to_numpy(), np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), len(lengths)
+
+
+def fit(positive: DataFrame, unlabelled: DataFrame, prior: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """(places, weights, bias). Words get a weight if positives hold them clearly more often; only
+    their places come to the driver."""
+    sample = _sample(positive, unlabelled)
+    sizes = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
+    if not sizes.get(True):
         return np.empty(0, np.int64), np.empty(0), -np.inf
-    positive, unlabelled = _apart(positive), _apart(unlabelled)
-    seen = np.bincount(positive[0], minlength=SPACE).astype(float)
-    usual = np.bincount(unlabelled[0], minlength=SPACE) * (len(positive[1]) / max(len(unlabelled[1]), 1))
-    places = np.flatnonzero((seen >= LEAST_POSITIVES) & (seen - usual >= CLEARLY * np.sqrt(usual + 0.5)))
-    column = np.full(SPACE, -1, np.int64)
-    column[places] = np.arange(len(places))
-
-    def sparse(sample):
-        of = column[sample[0]]
-        row = np.repeat(np.arange(len(sample[1])), sample[1])
-        return of[of >= 0], row[of >= 0], len(sample[1])
-
-    p, u = sparse(positive), sparse(unlabelled)
+    places = _telling(sample, sizes[True], sizes.get(False, 0))
+    if len(places) == 0:
+        return places, np.empty(0), float(np.log(prior / (1 - prior)))
+    known = sample.mapInArrow(_columns_task(places), "positive boolean, key bigint, words array<int>")
+    p, u = (_sparse(known.where(side)) for side in ("positive", "not positive"))
     weights, bias = np.zeros(len(places)), float(np.log(prior / (1 - prior)))
     moment, spread = np.zeros(len(places) + 1), np.zeros(len(places) + 1)
     for step in range(1, STEPS + 1):
@@ -131,7 +165,6 @@ class ToxicityModel:
     """A fitted classifier; `score` is a column expression for any text column."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame, seed: int = 7):
-        spark = docs.sparkSession
         train = labels.where((fold("doc_id") != 0) & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         known = train.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         counts = known.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("toxic") == 1).alias("toxic")).first()
@@ -142,12 +175,12 @@ class ToxicityModel:
         places, weights, self.bias = np.empty(0, np.int64), np.empty(0), float("-inf")
         if counts["toxic"]:
             chosen = known.where("toxic = 1").where(self._part(counts["toxic"], MAX_POSITIVE, seed)).select("doc_id")
-            positive = _features(texts.join(F.broadcast(chosen), "doc_id").select("text"))
-            unlabelled = _features(texts.where(self._part(total, MAX_UNLABELLED, seed + 1)).select("text"))
+            positive = texts.join(F.broadcast(chosen), "doc_id").select("text")
+            unlabelled = texts.where(self._part(total, MAX_UNLABELLED, seed + 1)).select("text")
             prior = min(max(counts["toxic"] / counts["n"], 1e-4), 0.5)
             places, weights, self.bias = fit(positive, unlabelled, prior)
         used = weights != 0
-        self._model = spark.sparkContext.broadcast((places[used], weights[used]))
+        self._model = places[used], weights[used]  # the words that tell; travels with the task
 
     @staticmethod
     def _part(n: int, most: int, seed: int) -> Column:
@@ -161,7 +194,7 @@ class ToxicityModel:
         @F.arrow_udf("double")
         def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             table = np.zeros(SPACE)
-            places, weights = model.value
+            places, weights = model
             table[places] = weights
             words = Words()
             for batch in texts:

@@ -422,6 +422,23 @@ def test_toxicity(spark, nothing):
     assert [r["score"] for r in again] == [r["score"] for r in got]
 
 
+def test_toxicity_brings_only_telling_words_to_the_driver(spark):
+    """However many words the sample has, the driver gets those that positives hold clearly more often."""
+    rng = random.Random(3)
+    plain = [phrase(rng, 200, 100_000) for _ in range(60)]
+    side = lambda texts: spark.createDataFrame([(t,) for t in texts], "text string")
+    positive, unlabelled = side([t + " awful nasty" for t in plain[:20]] * 2), side(plain[20:] + [None, ""])
+    sample = toxicity._sample(positive, unlabelled)
+    assert sorted(sample.groupBy("positive").count().collect()) == [(False, 41), (True, 20)]
+    words = toxicity.Words()
+    want = np.unique(np.concatenate(words.features(toxicity.pa.array(["awful nasty"]))))
+    places = toxicity._telling(sample, 20, 41)
+    assert list(places) == list(want)
+    known = sample.mapInArrow(toxicity._columns_task(places), "positive boolean, key bigint, words array<int>")
+    of, row, n = toxicity._sparse(known.where("positive"))
+    assert (len(of), n) == (40, 20) and sorted(row) == sorted([*range(20)] * 2)
+
+
 def removed_by_hand(rows, size):
     first = {}
     for doc, text in rows:

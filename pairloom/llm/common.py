@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.session import work_dir
+from pairloom.session import remove_folder, work_dir
 
 BATCH_BYTES = 1 << 19
 # The characters between words.
@@ -25,7 +26,20 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     costs a read, not a recomputation."""
     path = work_dir(df.sparkSession, label)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `stored` wrote and nothing reads any more. The driver then collects what
+    finished jobs left behind; only so does Spark's cleaner delete their shuffle files and broadcasts
+    before the driver's memory is full."""
+    for table in tables:
+        remove_folder(table.sparkSession, table.stored_at)
+    gc.collect()
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def same_columns(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -167,7 +181,7 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("b"))
         step = stored(least.select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "parents")
         steps.append(step)
-        edges = stored(
+        before, edges = edges, stored(
             edges.join(step.select(F.col("node").alias("a"), F.col("label").alias("x")), "a")
             .join(step.select(F.col("node").alias("b"), F.col("label").alias("y")), "b")
             .where("x <> y")
@@ -175,6 +189,7 @@ def components(links: DataFrame) -> DataFrame:
             .distinct(),
             "links",
         )
+        remove_folder(spark, before.stored_at)
     if not steps:
         return empty_like(spark, "node bigint, label bigint")
     labels = steps[0]

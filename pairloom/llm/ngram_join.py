@@ -35,6 +35,7 @@ from pairloom.llm.common import (
     collect_slots,
     components,
     dense,
+    discard,
     gram_hashes,
     list_array,
     mixed,
@@ -267,13 +268,15 @@ class NgramJoin:
             "ngram-tokens",
         )
         shared = F.size(F.array_intersect("ta", "tb"))
-        return stored(
+        links = stored(
             near.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
             .join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
             .where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * self.percent)
             .select("a", "b"),
             "ngram-links",
         )
+        discard(near, tokens)
+        return links
 
     def _meet_hubs(self, rows: DataFrame, *keys: str) -> DataFrame:
         """The pairs (a, b) of nodes when each row (keys, label, head, n, pos) meets the hub of its
@@ -388,7 +391,10 @@ class NgramJoin:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         )
         more = self._verified(pairs, members)
-        return stored(components(links.union(more)), "ngram-labels") if not more.isEmpty() else labels
+        if not more.isEmpty():
+            labels = stored(components(links.union(more)), "ngram-labels")
+        discard(members, groups, postings, rows)
+        return labels
 
     def documents(self) -> DataFrame:
         """(doc_id, n_shingles, component_id, node) for every row of the table."""
@@ -412,6 +418,7 @@ def ngram_components(docs: DataFrame, *, size: int = 5, percent: int = 80, **nam
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """The document with the smallest id of each component, with its own columns. Rows without an id
     stay, as do texts without words."""
-    found = ngram_components(docs.select("doc_id", "text"))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    join = NgramJoin(docs.select("doc_id", "text"), size=5, percent=80)
+    gone = stored(join.documents().where("doc_id <> component_id").select("doc_id").distinct(), "ngram-gone")
+    discard(join.keys, join.sets)
     return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -28,6 +28,7 @@ from pairloom.llm.common import (
     SPACES,
     WordHasher,
     by_bytes,
+    discard,
     gram_hashes,
     list_array,
     mixed,
@@ -137,6 +138,7 @@ def fit(positive: DataFrame, unlabelled: DataFrame, prior: float) -> tuple[np.nd
         return places, np.empty(0), float(np.log(prior / (1 - prior)))
     known = sample.mapInArrow(_columns_task(places), "positive boolean, key bigint, words array<int>")
     p, u = (_sparse(known.where(side)) for side in ("positive", "not positive"))
+    discard(sample)
     weights, bias = np.zeros(len(places)), float(np.log(prior / (1 - prior)))
     moment, spread = np.zeros(len(places) + 1), np.zeros(len(places) + 1)
     for step in range(1, STEPS + 1):

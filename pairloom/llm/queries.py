@@ -14,6 +14,7 @@ from pairloom.llm import (
     packing,
     quality,
     sharding,
+    spelling,
     substring_dedup,
     toxicity,
     url_filter,
@@ -97,6 +98,10 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("*", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_sharding": shards,
     "op2_quality": quality_classifier,
@@ -108,4 +113,5 @@ QUERIES = {
     "op8_toxicity": toxic,
     "op9_substring_dedup": substrings,
     "op10_html_text": main_text,
+    "op13_spelling_variants": spelling_variants,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pairloom.llm import (
     decontaminate,
     exact_dedup,
+    hard_negatives,
     html_text,
     ngram_join,
     packing,
@@ -98,6 +99,10 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("*", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_read(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
+
+
 def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -113,5 +118,6 @@ QUERIES = {
     "op8_toxicity": toxic,
     "op9_substring_dedup": substrings,
     "op10_html_text": main_text,
+    "op12_hard_negatives": negatives,
     "op13_spelling_variants": spelling_variants,
 }

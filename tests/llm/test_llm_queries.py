@@ -16,7 +16,8 @@ def test_query(spark, sf_dir, name):
         assert len(got) > 0 or name == "op5_decontamination"
         return
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "embeddings", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     want = con.execute(ORACLES[name]).df()
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)

@@ -14,6 +14,7 @@ from pairloom.llm import (
     ngram_join,
     packing,
     quality,
+    quality_rules,
     sharding,
     spelling,
     substring_dedup,
@@ -99,6 +100,12 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("*", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    labels = _read(spark, sf_dir, "labels", "doc_id", "quality").withColumnRenamed("quality", "good")
+    return quality_rules.judge(docs, labels)
+
+
 def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(_read(spark, sf_dir, "embeddings", "vec_id", "label", "embedding"))
 
@@ -118,6 +125,7 @@ QUERIES = {
     "op8_toxicity": toxic,
     "op9_substring_dedup": substrings,
     "op10_html_text": main_text,
+    "op11_quality_rules": rules,
     "op12_hard_negatives": negatives,
     "op13_spelling_variants": spelling_variants,
 }

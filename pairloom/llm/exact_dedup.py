@@ -26,10 +26,16 @@ from pairloom.session import work_dir
 
 # The characters that do not count for equality.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
-# State on disk; without reserving file space ahead, which is megabytes for every partition.
+# State on disk; without reserving file space ahead, which is megabytes for every partition, with one
+# bound on memory for all stores of an executor, and with a short time until those of a finished run
+# are closed.
 DISK_STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
 }
 # Hits are looked up by a broadcast up to this many (about 100 bytes each), by a shuffle beyond.
 BROADCAST_HITS = 200_000

@@ -195,14 +195,18 @@ class ToxicityModel:
 
         @F.arrow_udf("double")
         def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            table = np.zeros(SPACE)
-            places, weights = model
-            table[places] = weights
+            # the last place is above all words'
+            places, weights = np.append(model[0], SPACE), np.append(model[1], 0.0)
             words = Words()
+
+            def margin(found: np.ndarray) -> float:
+                at = np.searchsorted(places, found)
+                return weights[at[places[at] == found]].sum() + bias
+
             for batch in texts:
                 parts = by_bytes([pa.RecordBatch.from_arrays([batch], names=["text"])], 0)
-                margin = np.array([table[f].sum() for p in parts for f in words.features(p.column(0))]) + bias
-                yield pa.array(1 / (1 + np.exp(-np.clip(margin, -700, 700))), pa.float64())
+                margins = np.array([margin(f) for p in parts for f in words.features(p.column(0))])
+                yield pa.array(1 / (1 + np.exp(-np.clip(margins, -700, 700))), pa.float64())
 
         return scored(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 

@@ -59,6 +59,10 @@ class SymbolTable:
         """A merge as three characters: left, right, result."""
         return self.add(left) + self.add(right) + self.add(left + right)
 
+    def items(self) -> list[tuple[str, str]]:
+        """(character, hex) of every symbol."""
+        return list(self._hex.items())
+
     def hex_list(self) -> list[str]:
         """Hex by code point (empty where no symbol is), for lookups by `ascii(symbol)`."""
         out = [""] * (ord(max(self._hex)) + 1)
@@ -112,25 +116,26 @@ def apply_merges(word: Column, rules: Sequence[str]) -> Column:
     )
 
 
-def pair_list_sql(word: str) -> str:
-    """`pair_list` as SQL text."""
-    return f"regexp_extract_all({word}, '(?s)(?=(..)).', 1)"
+def _literal_sql(symbols: str) -> str:
+    """Symbols as SQL text; hex keeps them clear of quoting."""
+    return f"decode(X'{symbols.encode('utf-8').hex()}', 'UTF-8')"
+
+
+def constant_sql(words: Sequence[str]) -> str:
+    """An array of constant words as SQL text."""
+    return f"array({', '.join(map(_literal_sql, words))})"
 
 
 def fold_sql(word: str, rules: Sequence[str]) -> str:
     """`apply_merges` as SQL text for a few rules.
 
     The rules are one constant, so the code Spark generates is the same whatever they are and
-    stays compiled from round to round. Hex keeps symbols clear of quoting.
+    stays compiled from round to round.
     """
     if not rules:
         return word
-
-    def literal(symbols: str) -> str:
-        return f"decode(X'{symbols.encode('utf-8').hex()}', 'UTF-8')"
-
     steps = ", ".join(
-        f"named_struct('pair', {literal(rule[:2])}, 'symbol', {literal(rule[2])})" for rule in rules
+        f"named_struct('pair', {_literal_sql(rule[:2])}, 'symbol', {_literal_sql(rule[2])})" for rule in rules
     )
     return f"aggregate(array({steps}), {word}, (w, m) -> replace(w, m.pair, m.symbol))"
 

@@ -17,6 +17,30 @@ def coded_pair_counts(words: DataFrame) -> DataFrame:
     )
 
 
+def gram_changes(words: DataFrame) -> DataFrame:
+    """(gram, n): what words (cnt, old, new) gain and lose in pairs and triples of neighbours, one row
+    for each place.
+
+    The new and the old form are read as one text, whose grams across the seam count for nothing. SQL
+    text, because building it from columns takes longer than a small job.
+    """
+    return words.selectExpr(
+        "cnt", "length(new) AS seam", "posexplode(regexp_extract_all(new || old, '(?s)(?=(...?)).', 1)) AS (pos, gram)"
+    ).selectExpr(
+        "if(pos < seam, cnt, -cnt) AS n",
+        """explode(array_compact(array(
+            if(pos = seam - 1, NULL, substring(gram, 1, 2)),
+            if(length(gram) < 3 OR pos = seam - 1 OR pos = seam - 2, NULL, gram)))) AS gram""",
+    ).select("gram", "n")
+
+
+def pair_postings(words: DataFrame) -> DataFrame:
+    """(pair, word, cnt) ordered by pair: the words that hold each pair, once. A scan for a few pairs
+    skips the parts of the table that do not hold them."""
+    rows = words.select(F.explode(F.array_distinct(pair_list(F.col("word")))).alias("pair"), "word", "cnt")
+    return rows.repartitionByRange("pair", "word").sortWithinPartitions("pair")
+
+
 def pair_sides(pair: Column, table: SymbolTable) -> list[Column]:
     return [
         symbol_hex(F.substring(pair, 1, 1), table).alias("l"),

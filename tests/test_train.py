@@ -53,11 +53,32 @@ def test_training_does_not_depend_on_partitioning(spark):
     assert len(runs) == 1
 
 
+def one_round(words, symbols, room, rng):
+    """The batch rule alone, without Spark, over all grams or the first few."""
+    counts = {}
+    for word, n in words.items():
+        for size in (2, 3):
+            for i in range(len(word) - size + 1):
+                gram = tuple(s.hex().upper() for s in word[i : i + size])
+                counts[gram] = counts.get(gram, 0) + n
+    grams = sorted(counts.items(), key=lambda x: (-x[1], rng.random()))
+    pairs = sorted(((n, *g) for g, n in counts.items() if len(g) == 2), reverse=True)
+    if not pairs:
+        return []
+    top = grams[: rng.choice([len(grams), 5, 12, 40])]
+    cut = top[-1][1] if len(top) < len(grams) else 0
+    listed = [(n, *g) for g, n in top if len(g) == 2]
+    if all(n <= cut for n, *_ in listed):
+        first = [p for p in pairs if p[0] == pairs[0][0]][: rng.choice([1, 2, 100])]
+        return certain_merges(first, {}, first[0][0], symbols, room, tied=True)
+    return certain_merges(listed, {g: n for g, n in top if len(g) == 3}, cut, symbols, room)
+
+
 def test_certain_merges_equal_single_steps_on_random_corpora():
-    """The batch rule alone, without Spark, on many small corpora and with cut-off lists."""
-    for seed in range(300):
+    rounds = 0
+    for seed in range(400):
         rng = random.Random(seed)
-        texts = random_texts(seed, rng.choice(["ab ", "abc ", "abcdef ", "aab"]), n=rng.randint(1, 12))
+        texts = random_texts(seed, rng.choice(["ab ", "abc ", "abcdef ", "aab", "abcdefghijklmnop "]), n=rng.randint(1, 12))
         want = brute.train(texts, 25)
         words = {}
         for t in texts:
@@ -65,35 +86,71 @@ def test_certain_merges_equal_single_steps_on_random_corpora():
                 words[brute.as_word(p)] = words.get(brute.as_word(p), 0) + 1
         got, symbols = [], SymbolTable()
         while len(got) < 25:
-            counts = {}
-            for word, n in words.items():
-                for pair in zip(word, word[1:]):
-                    counts[pair] = counts.get(pair, 0) + n
-            top = sorted(((n, *brute.hexes([p])[0]) for p, n in counts.items()), reverse=True)
-            if not top:
+            taken = one_round(words, symbols, 25 - len(got), rng)
+            rounds += 1
+            if not taken:
                 break
-            cut = rng.choice([len(top), 3, 8])
-            taken = certain_merges(top[:cut], cut >= len(top), symbols, 25 - len(got))
-            assert taken
             for left, right in taken:
                 pair = (bytes.fromhex(left), bytes.fromhex(right))
-                words = {brute.merge(w, pair): n for w, n in words.items()}
+                merged = {}
+                for w, n in words.items():
+                    merged[brute.merge(w, pair)] = merged.get(brute.merge(w, pair), 0) + n
+                words = merged
                 symbols.rule(left, right)
                 got.append(pair)
         assert got == want, seed
-
-
-def test_ties_beyond_the_listed_pairs(spark, monkeypatch):
-    monkeypatch.setattr(train, "TOP_PAIRS", 2)
-    texts = ["ab cd ef gh ij kl", "mn op"]
-    got = learn_merges(word_counts(docs(spark, texts)), 12)
-    assert got == brute.hexes(brute.train(texts, 12))
-
-
-def test_rebase_every_round(spark, monkeypatch):
-    monkeypatch.setattr(train, "ROUNDS_PER_BASE", 1)
-    texts = random_texts(11, "abcab ")
-    assert learn_merges(word_counts(docs(spark, texts)), 20) == brute.hexes(brute.train(texts, 20))
+    assert rounds < 400 * 25
+
+
+@pytest.mark.parametrize("top,hot", [(2, 3), (5, 8), (4, 4096)])
+def test_grams_beyond_the_listed_ones(spark, monkeypatch, top, hot):
+    monkeypatch.setattr(train, "TOP_GRAMS", top)
+    monkeypatch.setattr(train, "HOT_GRAMS", hot)
+    for texts in (["ab cd ef gh ij kl", "mn op"], random_texts(12, "abcd ")):
+        assert learn_merges(word_counts(docs(spark, texts)), 12) == brute.hexes(brute.train(texts, 12))
+
+
+@pytest.mark.parametrize("merges,share", [(1, 4), (3, 0), (128, 0), (128, 1000)])
+def test_new_bases_and_the_index(spark, monkeypatch, merges, share):
+    monkeypatch.setattr(train, "MERGES_PER_BASE", merges)
+    monkeypatch.setattr(train, "INDEX_SHARE", share)  # 0: always the index
+    texts = random_texts(11, "abcab ") + random_texts(13, "xyzé ")
+    learner = train.MergeLearner(word_counts(docs(spark, texts)))
+    learner.learn(12)
+    learner.learn(25)
+    assert learner.merges == brute.hexes(brute.train(texts, 25))
+    assert (learner.index is not None) == (share == 0 and merges > 1) or share == 4
+    left = {"".join(c) for c in learner.words().select("word").toPandas()["word"]}
+    learner.close()
+    assert left
+
+
+def test_a_round_reads_only_words_with_the_pair(spark, monkeypatch):
+    """Rows read fall with the pair's frequency: the index gives the words of the pairs, each once."""
+    monkeypatch.setattr(train, "INDEX_SHARE", 0)
+    texts = random_texts(17, "abcdefgh ", n=60)
+    learner = train.MergeLearner(word_counts(docs(spark, texts)))
+    words = {tuple(r) for r in learner.base_words.collect()}
+    for pairs in (["ab"], ["ab", "bc", "gh"], ["zz"]):
+        got = [tuple(r) for r in learner._words_with(pairs).collect()]
+        assert sorted(got) == sorted(w for w in words if any(p in w[0] for p in pairs))
+    plan = learner._words_with(["ab"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(pair), EqualTo(pair,ab)]" in plan
+    learner.close()
+
+
+def test_the_plan_does_not_grow_with_the_merges(spark):
+    """Nor with the rounds since the base: what a round sends is its own rules."""
+    texts = random_texts(19, "abcdefghijkl ", n=80)
+    learner = train.MergeLearner(word_counts(docs(spark, texts)))
+    sizes = []
+    for n in (10, 40, 80):
+        learner.learn(n)
+        learner._new_base(learner.words())
+        learner._apply(learner._next_merges(1))
+        sizes.append(len(learner.counts._jdf.queryExecution().optimizedPlan().toString()))
+    learner.close()
+    assert max(sizes) < 1.2 * min(sizes) + 200
 
 
 def test_specials_take_part_as_bytes_unless_excluded(spark):

@@ -327,10 +327,12 @@ ORACLES: dict[str, str] = {
         DOC_TOKENS,
         folded(MERGES),
         vocabulary(MERGES),
-        PIECES,
-        PIECE_LISTS,
-        select="""SELECT pretoken, n, replace(word, '||', '|') AS symbols, ids
-                  FROM folds JOIN lists USING (pretoken)""",
+        select="""SELECT pretoken, any_value(n) AS n,
+                         '|' || string_agg(token_hex, '|' ORDER BY sym_pos) || '|' AS symbols,
+                         string_agg(token_id::VARCHAR, ',' ORDER BY sym_pos) AS ids
+                  FROM (SELECT pretoken, n, unnest(list) AS token_hex,
+                               generate_subscripts(list, 1) AS sym_pos FROM folds)
+                  JOIN vocab USING (token_hex) GROUP BY pretoken""",
     ),
     "encode_docs": with_(
         DOC_TOKENS, folded(MERGES), vocabulary(MERGES), PIECES, PIECE_LISTS, select=DOC_IDS

@@ -33,8 +33,32 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    folder, files = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(folder)]
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file aside and move it to its place in one step, over one that may be there. The
+    name it has until then starts with _, so that readers of the folder pass over it."""
+    target, files = _file_system(spark, path)
+    aside = target.getParent().suffix(f"/_{uuid.uuid4().hex}")
+    out = files.create(aside)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration()).rename(aside, target, over)
+
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of tables this package wrote; nothing happens if there is none."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = _file_system(spark, path)
+    files.delete(folder, True)

@@ -1,10 +1,12 @@
-"""Training checkpoints: one Parquet directory per table and one-row JSON metadata.
+"""Training checkpoints: one Parquet directory per table, in a version that a one-row JSON file names.
 
 Words are symbol strings; the merges define their characters, so a checkpoint is complete in itself.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.vocab import SPECIAL_SCHEMA
-from pairloom.session import remove_folder
+from pairloom.session import list_folder, remove_folder, replace_file
 
 META_SCHEMA = "merge_count int, vocab_size int, num_merges int"
 
@@ -36,13 +38,17 @@ def write_checkpoint(
     merge_count: int,
     vocab_size: int,
 ) -> None:
-    """Metadata goes last, and first when a checkpoint is written anew: one that has it is whole."""
+    """The tables go into a new version, then one pointer file is replaced in one step; older versions go
+    last. So a rewrite that is cut off leaves the checkpoint as it was."""
     spark = words.sparkSession
-    remove_folder(spark, f"{path}/meta")
-    words.write.mode("overwrite").parquet(f"{path}/words")
-    write_tables(path, merges, vocab, specials)
-    meta = [(merge_count, vocab_size, merge_count)]
-    spark.createDataFrame(meta, META_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+    version = f"v-{uuid.uuid4().hex}"
+    words.write.parquet(f"{path}/{version}/words")
+    write_tables(f"{path}/{version}", merges, vocab, specials)
+    meta = {"merge_count": merge_count, "vocab_size": vocab_size, "num_merges": merge_count, "version": version}
+    replace_file(spark, f"{path}/meta/current.json", json.dumps(meta) + "\n")
+    for name in list_folder(spark, path):
+        if name.startswith("v-") and name != version:
+            remove_folder(spark, f"{path}/{name}")
 
 
 def write_tables(path: str, merges: DataFrame, vocab: DataFrame, specials: Sequence[str]) -> None:
@@ -65,8 +71,10 @@ def read_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, t
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> Checkpoint:
+    meta = spark.read.schema(f"{META_SCHEMA}, version string").json(f"{path}/meta").first()
+    if meta["version"]:
+        path = f"{path}/{meta['version']}"
     vocab, merges, specials = read_tables(spark, path)
-    meta = spark.read.schema(META_SCHEMA).json(f"{path}/meta").first()
     return Checkpoint(
         spark.read.parquet(f"{path}/words"),
         merges,

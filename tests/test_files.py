@@ -1,3 +1,4 @@
+import bz2
 import gzip
 import json
 
@@ -109,6 +110,67 @@ def test_delimited_corpus(spark, tmp_path, ends):
     assert ordered(counts, "pretoken") == ordered(pretoken_counts(whole, "text", [DELIMITER]), "pretoken")
 
 
+BODIES = ["", "a", DELIMITER, "a" + DELIMITER, "a" + DELIMITER + "b", DELIMITER * 3, "x <|endoftext| y" + DELIMITER + ">z"]
+BODIES += [">" + DELIMITER + ">", DELIMITER + "\n  tail  \n", "<|endof" + DELIMITER + "text|><|endoftext|" + "|>" + DELIMITER]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_delimiters_of_each_file_are_counted(spark, tmp_path, packed):
+    """With and without a delimiter at the end, compressed or not, and with parts of it in the text."""
+    whole = []
+    for i, body in enumerate(BODIES):
+        data = body.encode() + b"\xff"[: i % 2 if body and not body.endswith(DELIMITER) else 0]
+        whole.append(data.decode("utf-8", errors="ignore"))
+        (tmp_path / (f"{i}.txt.gz" if packed else f"{i}.txt")).write_bytes(gzip.compress(data) if packed else data)
+    counts = corpus.delimiter_counts(spark, str(tmp_path)).collect()
+    got = {r["path"].rsplit("/", 1)[1].split(".")[0]: (r["n_records"], r["n_delimiters"]) for r in counts}
+    want = {}
+    for i, body in enumerate(BODIES):
+        parts = body.split(DELIMITER)
+        if body:
+            want[str(i)] = (len(parts) - (parts[-1] == ""), len(parts) - 1)
+    assert got == want
+    counted = corpus.corpus_pretoken_counts(spark, str(tmp_path), [DELIMITER])
+    table = spark.createDataFrame([(t,) for t in whole], "text string")
+    assert ordered(counted, "pretoken") == ordered(pretoken_counts(table, "text", [DELIMITER]), "pretoken")
+    if not packed:
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan text") == 1
+
+
+def test_files_of_both_kinds(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one" + DELIMITER)
+    (tmp_path / "b.txt.gz").write_bytes(gzip.compress(("two" + DELIMITER) .encode() * 3000 + b"three"))
+    counts = {r["pretoken"]: r["n"] for r in corpus.corpus_pretoken_counts(spark, str(tmp_path), [DELIMITER]).collect()}
+    assert counts == {"one": 1, "two": 3000, "three": 1, DELIMITER: 3001}
+
+
+def test_a_rewrite_that_is_cut_off_leaves_the_old_checkpoint(spark, tmp_path, monkeypatch):
+    from pairloom import resume_training, train_bpe
+
+    docs = spark.createDataFrame([("low lower lowest slow slower",)] * 4, "text string")
+    path = f"{tmp_path}/run"
+    first = train_bpe(docs, 262, save_progress=True, progress_interval=3, checkpoint_dir=path)
+    saved = checkpoints.read_checkpoint(spark, f"{path}/final")
+    words = sorted(saved.words.collect())
+
+    def cut_off(*_):
+        raise RuntimeError("cut off")
+
+    for name in ("write_tables", "replace_file"):
+        with monkeypatch.context() as patch, pytest.raises(RuntimeError):
+            patch.setattr(checkpoints, name, cut_off)
+            train_bpe(docs.limit(1), 264, save_progress=True, progress_interval=100, checkpoint_dir=path)
+        again = checkpoints.read_checkpoint(spark, f"{path}/final")
+        assert (again.merge_count, sorted(again.words.collect())) == (6, words)
+        history = {r["checkpoint"]: r["merge_count"] for r in checkpoints.training_history(spark, path).collect()}
+        assert history == {"step=3": 3, "step=6": 6, "final": 6}
+    assert resume_training(spark, f"{path}/final", 264).merge_list[:6] == first.merge_list
+    train_bpe(docs, 263, save_progress=True, progress_interval=100, checkpoint_dir=path)
+    assert checkpoints.read_checkpoint(spark, f"{path}/final").merge_count == 7
+    assert sum(p.name.startswith("v-") for p in (tmp_path / "run/final").iterdir()) == 1
+
+
 def test_corpus_split_over_tasks_keeps_every_record(spark, tmp_path):
     texts = [f"story {i} " + "x" * (i % 97) for i in range(5000)]
     (tmp_path / "c.txt").write_bytes(DELIMITER.join(texts).encode())
@@ -158,8 +220,8 @@ def test_faulty_files_are_refused(spark, tmp_path):
         (two / name).write_text("a b\n")
     with pytest.raises(ValueError):
         tokenizer_files.load_gpt2_merges(spark, str(two))
-    packed = tmp_path / "packed.txt.gz"
-    packed.write_bytes(gzip.compress(b"a<|endoftext|>b"))
+    packed = tmp_path / "packed.txt.bz2"  # split among tasks
+    packed.write_bytes(bz2.compress(b"a<|endoftext|>b"))
     with pytest.raises(ValueError):
         corpus.delimiter_counts(spark, str(packed))
 

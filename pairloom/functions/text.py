@@ -41,8 +41,38 @@ def _quote(token: str) -> str:
 
 
 def special_alternation(specials: Sequence[str]) -> str:
-    """Regex alternation of the escaped specials, longest first so that overlaps go to the longest."""
-    return "|".join(_quote(s) for s in sorted(specials, key=len, reverse=True))
+    """Regex of the specials as a trie, the longest first where several match.
+
+    A place of the text is compared with one character of the trie after another, and a node with many
+    branches is searched by halves, so the cost grows with the length of a match and hardly with the
+    number of specials.
+    """
+    trie: dict = {}
+    for special in specials:
+        node = trie
+        for c in special:
+            node = node.setdefault(c, {})
+        node[""] = {}
+    return _trie_pattern(trie)
+
+
+def _trie_pattern(node: dict) -> str:
+    chain = ""
+    while len(node) == 1 and "" not in node:
+        ((c, node),) = node.items()
+        chain += _quote(c)
+    branches = sorted((c, child) for c, child in node.items() if c)
+    if not branches:
+        return chain
+    return f"{chain}{_branches_pattern(branches)}{'?' if '' in node else ''}"
+
+
+def _branches_pattern(branches: list[tuple[str, dict]]) -> str:
+    if len(branches) <= 4:
+        return f"(?:{'|'.join(_quote(c) + _trie_pattern(child) for c, child in branches)})"
+    low, high = branches[: len(branches) // 2], branches[len(branches) // 2 :]
+    within = rf"[\x{{{ord(low[0][0]):x}}}-\x{{{ord(low[-1][0]):x}}}]"
+    return f"(?:(?={within}){_branches_pattern(low)}|{_branches_pattern(high)})"
 
 
 def _holds_special(text: Column, specials: Sequence[str]) -> Column:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import brute
 from pyspark.sql import functions as F
@@ -96,3 +97,36 @@ def test_symbols_beyond_the_basic_plane(spark):
     assert column(df, F.transform(symbol_list(F.col("text")), lambda s: F.ascii(s))) == [
         [ord(c) for c in w] for w in words
     ]
+
+
+def test_special_tries_take_the_longest(spark):
+    rng = random.Random(8)
+    for alphabet, n in (("ab", 12), ("<|>ab.é*", 40), ("abcdefghijklmnopqrstuvwxyz\U0001f600水", 60)):
+        specials = list({"".join(rng.choices(alphabet, k=rng.randint(1, 5))) for _ in range(n)})
+        texts = ["".join(rng.choices(alphabet + " z", k=rng.randint(0, 30))) for _ in range(60)]
+        df = spark.createDataFrame([(t,) for t in texts], "text string")
+        got = [r[0] for r in df.select(pretokens(F.col("text"), specials)).collect()]
+        assert got == [brute.pretokens(t, specials) for t in texts]
+
+
+def test_cost_does_not_grow_with_the_number_of_specials(spark):
+    """2,000 specials against 20, in texts that hold them and texts that nearly do."""
+    rng = random.Random(9)
+    many = [f"<|special_{i}|>" for i in range(1000)] + [chr(0x4E00 + i) + "!" for i in range(1000)]
+    words = ["plain", "<|special_", "<|spec", many[3], many[5], chr(0x4E03), "水"]
+    texts = [(" ".join(rng.choices(words, k=400)),) for _ in range(400)]
+    df = spark.createDataFrame(texts, "text string").repartition(4).cache()
+    want = [brute.pretokens(t, many) for (t,) in texts[:3]]
+    assert [r[0] for r in spark.createDataFrame(texts[:3], "text string").select(pretokens(F.col("text"), many)).collect()] == want
+    df.count()
+
+    def seconds(specials):
+        found = df.select(F.explode(pretokens(F.col("text"), specials)))
+        best = 1e9
+        for _ in range(3):
+            start = time.perf_counter()
+            found.write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    assert seconds(many) < 4 * seconds(many[:20]) + 0.3

@@ -1,21 +1,24 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model.
 
-One model for each language is trained on trusted text. Its tokens are the 64 classes that bytes fall
-into (letters, capitals, digits, space, kinds of punctuation, kinds of other bytes), in runs of `ORDER`.
-Counts, continuation counts and discounts are tables sharded by language and run.
+One model for each language is trained on four fifths of the trusted text. Its tokens are characters
+(code points) of whatever script, in runs of `ORDER`, kept as strings, so what is gathered grows with the
+text and no alphabet is fixed. Counts, continuation counts and discounts are tables sharded by
+language and run. Below single characters lies an unknown class: the weight that the discounts of the
+trusted text's characters leave is spread evenly over them and one more.
 
 Scoring asks those shards. The documents are in blocks; each block's different runs are joined with
 the counts of all orders, interpolated from the lowest order up, and the probabilities go back to the
 block, where its documents are scored whole. A document is kept if its perplexity is at most the
-`KEEP` quantile of the trusted documents of its language (of all trusted documents where a language
-has none).
+`KEEP` quantile of the trusted documents of its language that the model has not seen (of all of them
+where a language has none).
 
-A block is up to `BLOCK_ROWS` neighbouring rows of a stored table; both passes see the same blocks, and
-a run without a probability fails the job.
+A block is up to `BLOCK_BYTES` of neighbouring rows of a stored table, a longer text alone; both passes
+see the same blocks, and a run without a probability fails the job.
 
-Nulls: a null or empty text has perplexity 1 and is kept; a null language is one of its own; a null
-doc_id is never trusted. Repeated labels: trusted if one says so. Without trusted text all probabilities
-are equal and everything is kept. Empty tables give no rows.
+Nulls: a null or empty text has perplexity 1 and is kept, as has any text in a language without trusted
+text; a null language is one of its own; a null doc_id is never trusted. Repeated labels: trusted if
+one says so. Without unseen trusted documents everything is kept. U+0000 counts as U+FFFD. Very long
+texts are read whole, in slices. Other columns are not looked at. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -24,170 +27,184 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import by_bytes, stored, text_bytes
+from pairloom.llm.common import by_bytes, discard, mixed, stored, text_bytes
 
-ORDER = 4
-BITS = 6
-CLASSES = 1 << BITS
+ORDER = 5
 KEEP = 0.99
-BLOCK_ROWS = 4096
-ROW_BITS = 33
-BROADCAST_LABELS = 2_000_000
-
-
-def byte_classes() -> np.ndarray:
-    """Class of each byte."""
-    table = np.empty(256, np.int32)
-    for b in range(256):
-        c = chr(b)
-        if b >= 128:
-            table[b] = 58 + b % 6
-        elif c.islower():
-            table[b] = b - ord("a")
-        elif c.isupper():
-            table[b] = 26 + b - ord("A")
-        elif c.isspace():
-            table[b] = 52 if c == " " else 53
-        elif c.isdigit():
-            table[b] = 54
-        else:
-            table[b] = 55 if c in ".,;:" else 56 if c in "'\"-()?!" else 57
-    return table
-
-
-class Runs:
-    """The run of ORDER classes that ends at each byte; before a text stand line ends."""
-
-    def __init__(self):
-        self.table = byte_classes()
-        self.pad = b"\n" * (ORDER - 1)
-
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(runs of all texts, how many each text has)."""
-        lengths = np.array([len(t) for t in texts], np.int64)
-        classes = self.table[np.frombuffer(b"".join([self.pad + t for t in texts]), np.uint8)]
-        runs = np.zeros(max(len(classes) - ORDER + 1, 0), np.int32)
-        for k in range(ORDER):
-            runs = (runs << BITS) | classes[k : len(classes) - ORDER + 1 + k]
-        # runs that reach from one text into the padding of the next are not asked for
-        real = np.ones(len(runs), bool)
-        for start in (np.cumsum(lengths + ORDER - 1)[:-1] - (ORDER - 1)).tolist():
-            real[start : start + ORDER - 1] = False
-        return runs[real], lengths
-
-
-def _lists(scopes: list, counted: list[tuple[np.ndarray, np.ndarray]], names: list[str], kind: pa.DataType) -> pa.RecordBatch:
-    sizes = [len(k) for k, _ in counted]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([s for s, n in zip(scopes, sizes) for _ in range(n)], kind),
-            pa.array(np.concatenate([k for k, _ in counted])),
-            pa.array(np.concatenate([n for _, n in counted])),
-        ],
-        names=names,
-    )
+FOLDS = 5  # one of them sets the threshold, the others train
+BLOCK_BYTES = 32 << 20
+CHUNK_BYTES = 4 << 20
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hashes(windows: np.ndarray) -> np.ndarray:
+    """One number for each row of ORDER code points."""
+    total = np.zeros(len(windows), np.uint64)
+    for k in range(ORDER):
+        total = total * FACTOR + windows[:, k]
+    return mixed(total)
+
+
+def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(the run of ORDER code points that ends at each one of all texts, how many each text has); before
+    a text stand line ends."""
+    pad = "\n" * (ORDER - 1)
+    words = [t.decode("utf-8", "replace").replace("\0", "\ufffd") for t in texts]
+    lengths = np.array([len(t) for t in words], np.int64)
+    codes = np.frombuffer("".join([pad + t for t in words]).encode("utf-32-le"), np.uint32)
+    if len(codes) < ORDER:
+        return np.empty((0, ORDER), np.uint32), lengths
+    runs = np.lib.stride_tricks.sliding_window_view(codes, ORDER)
+    # runs that reach from one text into the padding of the next are not asked for
+    real = np.ones(len(runs), bool)
+    for start in (np.cumsum(lengths + ORDER - 1)[:-1] - (ORDER - 1)).tolist():
+        real[max(start, 0) : start + ORDER - 1] = False
+    return runs[real], lengths
+
+
+def _strings(runs: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(runs, np.uint32).view(f"<U{ORDER}").ravel()
+
+
+def _by_language(part: pa.RecordBatch, lang: int, text: int) -> Iterator[tuple[str | None, np.ndarray, np.ndarray, np.ndarray]]:
+    """(language, hash, string and number of its different runs) of a batch."""
+    langs, texts = part.column(lang).to_pylist(), text_bytes(part.column(text))
+    for name in dict.fromkeys(langs):
+        runs, _ = _windows([t for t, x in zip(texts, langs) if x == name])
+        keys, first, n = np.unique(_hashes(runs), return_index=True, return_counts=True)
+        if len(keys):
+            yield name, keys, _strings(runs[first]), n
 
 
 def _counts_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, run, n), counted over the whole task."""
-    runs_of = Runs()
-    held: dict[str | None, np.ndarray] = {}
-    for part in by_bytes(batches, 1):
-        langs = part.column(0).to_pylist()
-        runs, lengths = runs_of.of(text_bytes(part.column(1)))
-        starts = np.concatenate(([0], np.cumsum(lengths)))
-        for lang in set(langs):
-            mine = [runs[starts[i] : starts[i + 1]] for i, x in enumerate(langs) if x == lang]
-            if lang not in held:
-                held[lang] = np.zeros(1 << (BITS * ORDER), np.int32)
-            keys, n = np.unique(np.concatenate(mine), return_counts=True)
-            held[lang][keys] += n.astype(np.int32)
-    for lang, table in held.items():
-        keys = np.flatnonzero(table).astype(np.int32)
-        for at in range(0, len(keys), 1 << 16):
-            k = keys[at : at + (1 << 16)]
-            yield _lists([lang], [(k, table[k].astype(np.int64))], ["lang", "run", "n"], pa.string())
+    """(lang, run, n), counted by chunk."""
+    for part in by_bytes(batches, 1, CHUNK_BYTES):
+        for lang, _, runs, n in _by_language(part, 0, 1):
+            columns = [pa.array([lang] * len(n), pa.string()), pa.array(runs.tolist(), pa.string()), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "run", "n"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(block, rows): neighbouring rows of a task, cut by the bytes of their texts."""
+    held, block = 0, TaskContext.get().partitionId() << 32
+    for part in by_bytes(batches, text, CHUNK_BYTES):
+        start = 0
+        for i, size in enumerate(map(len, text_bytes(part.column(text)))):
+            if held and held + size > BLOCK_BYTES:
+                if i > start:
+                    yield block, part.slice(start, i - start)
+                start, held, block = i, 0, block + 1
+            held += size
+        yield block, part.slice(start)
 
 
 def _asked_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, lang, run): the different runs of each block."""
-    runs_of = Runs()
     current, seen = None, {}
 
     def out() -> Iterator[pa.RecordBatch]:
-        for lang, table in seen.items():
-            keys = np.flatnonzero(table).astype(np.int32)
-            if len(keys):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(keys), current)),
-                        pa.array([lang] * len(keys), pa.string()),
-                        pa.array(keys),
-                    ],
-                    names=["block", "lang", "run"],
-                )
-
-    for part in by_bytes(batches, 2):
-        blocks, langs = part.column(0).to_numpy(zero_copy_only=False), part.column(1).to_pylist()
-        runs, lengths = runs_of.of(text_bytes(part.column(2)))
-        starts = np.concatenate(([0], np.cumsum(lengths)))
-        for i, (block, lang) in enumerate(zip(blocks, langs)):
-            if block != current:
-                yield from out()
-                current, seen = block, {}
-            if lang not in seen:
-                seen[lang] = np.zeros(1 << (BITS * ORDER), bool)
-            seen[lang][runs[starts[i] : starts[i + 1]]] = True
+        for lang, (_, runs) in seen.items():
+            columns = [
+                pa.array(np.full(len(runs), current, np.int64)),
+                pa.array([lang] * len(runs), pa.string()),
+                pa.array(runs.tolist(), pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "run"])
+
+    for block, part in _blocks(batches, 1):
+        if block != current:
+            yield from out()
+            current, seen = block, {}
+        for lang, keys, runs, _ in _by_language(part, 0, 1):
+            if lang in seen:
+                keys, first = np.unique(np.concatenate([seen[lang][0], keys]), return_index=True)
+                runs = np.concatenate([seen[lang][1], runs])[first]
+            seen[lang] = keys, runs
     yield from out()
 
 
-def _score_group(docs: pa.Table, asked: pa.Table) -> pa.Table:
+def _blocked_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (lang, text, doc_id) with their block; texts compressed for the way."""
+    packer = pa.Codec("zstd", compression_level=3)
+    for block, part in _blocks(batches, 1):
+        texts = text_bytes(part.column(1))
+        columns = [
+            pa.array(np.full(len(texts), block, np.int64)),
+            part.column(0),
+            pa.array([len(t).to_bytes(8, "little") + (packer.compress(t, asbytes=True) if t else b"") for t in texts], pa.binary()),
+            part.column(2),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "packed", "doc_id"])
+
+
+def _score_group(docs, answers):
     """Perplexity of each document of one block and language."""
-    table = np.full(1 << (BITS * ORDER), np.nan, np.float32)
-    table[asked.column("run").to_numpy()] = asked.column("log_p").to_numpy()
-    runs_of = Runs()
-    out = []
-    for batch in by_bytes(docs.to_batches(), docs.column_names.index("text")):
-        runs, lengths = runs_of.of(text_bytes(batch.column(docs.column_names.index("text"))))
-        sums = np.concatenate(([0.0], np.cumsum(table[runs], dtype=np.float64)))
-        ends = np.cumsum(lengths)
-        total = sums[ends] - sums[ends - lengths]
-        if np.isnan(total).any():
+    packer = pa.Codec("zstd")
+    runs = "".join(answers.column("run").to_pylist())
+    known = _hashes(np.frombuffer(runs.encode("utf-32-le"), np.uint32).reshape(-1, ORDER))
+    order = np.argsort(known)
+    known, log_p = known[order], answers.column("log_p").to_numpy()[order]
+    n_tokens, perplexity, waiting, held = [], [], [], 0
+
+    def score() -> None:
+        asked, lengths = _windows(waiting)
+        asked = _hashes(asked)
+        at = np.minimum(np.searchsorted(known, asked), max(len(known) - 1, 0))
+        if len(asked) and (len(known) == 0 or (known[at] != asked).any()):
             raise RuntimeError("a run of this block was not asked for")
-        out.append(np.exp(-total / np.maximum(lengths, 1)))
+        sums = np.concatenate(([0.0], np.cumsum(log_p[at], dtype=np.float64)))
+        ends = np.cumsum(lengths)
+        n_tokens.extend(lengths.tolist())
+        perplexity.extend(np.exp((sums[ends - lengths] - sums[ends]) / np.maximum(lengths, 1)).tolist())
+        waiting.clear()
+
+    for packed in docs.column("packed").to_pylist():
+        size = int.from_bytes(packed[:8], "little")
+        waiting.append(packer.decompress(packed[8:], size, asbytes=True) if size else b"")
+        held += size
+        if held > CHUNK_BYTES:
+            score()
+            held = 0
+    if waiting:
+        score()
     return pa.table(
         {
             "doc_id": docs.column("doc_id"),
             "lang": docs.column("lang"),
-            "trusted": docs.column("trusted"),
-            "n_tokens": pa.array([len(t) for t in text_bytes(docs.column("text").combine_chunks())], pa.int64()),
-            "perplexity": pa.array(np.concatenate(out) if out else np.empty(0), pa.float64()),
+            "n_tokens": pa.array(n_tokens, pa.int64()),
+            "perplexity": pa.array(perplexity, pa.float64()),
         }
     )
 
 
-def _suffix(order: int) -> Column:
-    """A run without its first class."""
-    return F.col("run").bitwiseAND(F.lit((1 << (BITS * (order - 1))) - 1))
+def _suffix() -> Column:
+    """A run without its first character."""
+    return F.expr("substring(run, 2)")
+
+
+def _context() -> Column:
+    """A run without its last character."""
+    return F.expr("substring(run, 1, length(run) - 1)")
 
 
 class KneserNey:
-    """Count tables of all orders. `counts[k]` is (lang, run, n); `contexts[k]` (lang, context, total,
-    back), where back is the weight left to the next lower order; discounts are three numbers for each
-    language and order, from the counts of counts."""
+    """Tables of all orders. `discounted[k]` is (lang, run, mass), `contexts[k]` (lang, context, total, held,
+    different), where held is the weight left to the next lower order; discounts are three numbers for
+    each language and order, from the counts of counts."""
 
     def __init__(self, trusted: DataFrame):
-        raw = trusted.select("lang", "text").mapInArrow(_counts_task, "lang string, run int, n bigint")
+        raw = trusted.select("lang", "text").mapInArrow(_counts_task, "lang string, run string, n bigint")
         top = raw.groupBy("lang", "run").agg(F.sum("n").alias("n"))
         self.discounted, self.contexts = {}, {}
         for order in range(ORDER, 0, -1):
             top = stored(top, f"runs-{order}")
             self._order(order, top)
             # lower orders count in how many ways a run is continued to the left
-            top = top.groupBy("lang", _suffix(order).alias("run")).agg(F.count(F.lit(1)).alias("n"))
+            top = top.groupBy("lang", _suffix().alias("run")).agg(F.count(F.lit(1)).alias("n"))
 
     def _order(self, order: int, counts: DataFrame) -> None:
         number = [F.count_if(F.col("n") == k).alias(f"c{k}") for k in (1, 2, 3, 4)]
@@ -207,8 +224,8 @@ class KneserNey:
         )
         self.discounted[order] = table.select("lang", "run", (F.col("n") - F.col("less")).alias("mass"))
         self.contexts[order] = stored(
-            table.groupBy("lang", F.shiftright("run", BITS).alias("context")).agg(
-                F.sum("n").alias("total"), F.sum("less").alias("held")
+            table.groupBy("lang", _context().alias("context")).agg(
+                F.sum("n").alias("total"), F.sum("less").alias("held"), F.count(F.lit(1)).alias("different")
             ),
             f"contexts-{order}",
         )
@@ -217,23 +234,25 @@ class KneserNey:
         """(lang, run, log_p) for (lang, run): sharded joins with the counts, lowest order first."""
         wanted = {ORDER: asked}
         for order in range(ORDER, 1, -1):
-            wanted[order - 1] = wanted[order].select("lang", _suffix(order).alias("run")).distinct()
+            wanted[order - 1] = wanted[order].select("lang", _suffix().alias("run")).distinct()
         lower = None
         for order in range(1, ORDER + 1):
             rows = wanted[order]
             if lower is None:
-                rows = rows.withColumn("below", F.lit(1.0 / CLASSES))
+                rows = rows.withColumn("below", F.lit(None).cast("double"))
             else:
                 low = lower.select(F.col("lang").alias("l"), F.col("run").alias("s"), F.col("p").alias("below"))
-                rows = rows.withColumn("s", _suffix(order))
+                rows = rows.withColumn("s", _suffix())
                 rows = rows.join(low, rows["lang"].eqNullSafe(low["l"]) & (rows["s"] == low["s"])).select("lang", "run", "below")
             seen = self.discounted[order].select(F.col("lang").alias("l"), F.col("run").alias("r"), "mass")
             rows = rows.join(seen, rows["lang"].eqNullSafe(seen["l"]) & (rows["run"] == seen["r"]), "left").drop("l", "r")
-            rows = rows.withColumn("c", F.shiftright("run", BITS))
-            context = self.contexts[order].select(F.col("lang").alias("l"), F.col("context").alias("k"), "total", "held")
+            rows = rows.withColumn("c", _context())
+            context = self.contexts[order].select(F.col("lang").alias("l"), F.col("context").alias("k"), "total", "held", "different")
             rows = rows.join(context, rows["lang"].eqNullSafe(context["l"]) & (rows["c"] == context["k"]), "left")
-            p = F.when(F.col("total").isNull(), F.col("below")).otherwise(
-                (F.coalesce("mass", F.lit(0.0)) + F.col("held") * F.col("below")) / F.col("total")
+            # below single characters: each of them, and the unknown one, alike; all alike without trusted text
+            below = F.coalesce("below", 1 / (F.col("different") + 1), F.lit(1.0))
+            p = F.when(F.col("total").isNull(), below).otherwise(
+                (F.coalesce("mass", F.lit(0.0)) + F.col("held") * below) / F.col("total")
             )
             lower = rows.select("lang", "run", p.alias("p"))
         return lower.select("lang", "run", F.log(F.greatest("p", F.lit(1e-12))).cast("float").alias("log_p"))
@@ -241,33 +260,32 @@ class KneserNey:
 
 def quality(docs: DataFrame, labels: DataFrame, *, keep: float = KEEP) -> DataFrame:
     """(doc_id, lang, trusted, n_tokens, perplexity, threshold, kept) of every document."""
-    number = F.monotonically_increasing_id()
-    block = F.shiftright(number, ROW_BITS) * (1 << 20) + F.floor(number.bitwiseAND(F.lit((1 << ROW_BITS) - 1)) / BLOCK_ROWS)
     rows = docs.select(
-        block.cast("bigint").alias("block"),
-        F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("lang").cast("string").alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
     )
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
-    if labels.count() <= BROADCAST_LABELS:
-        good = F.broadcast(good)
-    marked = rows.join(good.withColumn("is_good", F.lit(True)), "doc_id", "left").select(
-        "block", "doc_id", "lang", "text", F.coalesce("is_good", F.lit(False)).alias("trusted")
-    )
-    model = KneserNey(rows.join(good, "doc_id", "left_semi"))
-    asked = stored(rows.select("block", "lang", "text").mapInArrow(_asked_task, "block bigint, lang string, run int"), "asked-runs")
+    unseen = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)) == 0
+    model = KneserNey(rows.where(~unseen).join(good, "doc_id", "left_semi"))
+    asked = stored(rows.select("lang", "text").mapInArrow(_asked_task, "block bigint, lang string, run string"), "asked-runs")
     known = stored(model.log_probabilities(asked.select("lang", "run").distinct()), "log-probabilities")
     k = known.select(F.col("lang").alias("l"), F.col("run").alias("r"), "log_p")
     answers = asked.join(k, asked["lang"].eqNullSafe(k["l"]) & (asked["run"] == k["r"])).select("block", "lang", "run", "log_p")
-    schema = "doc_id bigint, lang string, trusted boolean, n_tokens bigint, perplexity double"
+    packed = rows.mapInArrow(_blocked_task, "block bigint, lang string, packed binary, doc_id bigint")
+    schema = "doc_id bigint, lang string, n_tokens bigint, perplexity double"
+    found = packed.groupBy("block", "lang").cogroup(answers.groupBy("block", "lang")).applyInArrow(_score_group, schema)
     scored = stored(
-        marked.groupBy("block", "lang").cogroup(answers.groupBy("block", "lang")).applyInArrow(_score_group, schema),
+        found.join(good.withColumn("is_good", F.lit(True)), "doc_id", "left").select(
+            "doc_id", "lang", F.coalesce("is_good", F.lit(False)).alias("trusted"), "n_tokens", "perplexity"
+        ),
         "perplexities",
     )
+    discard(asked, known)
     quantile = F.percentile_approx("perplexity", F.lit(keep), F.lit(10000)).alias("threshold")
-    by_language = scored.where("trusted").groupBy(F.col("lang").alias("l")).agg(quantile)
-    overall = scored.where("trusted").agg(quantile).first()["threshold"]
+    held_out = scored.where(F.col("trusted") & unseen)
+    by_language = held_out.groupBy(F.col("lang").alias("l")).agg(quantile)
+    overall = held_out.agg(quantile).first()["threshold"]
     return (
         scored.join(F.broadcast(by_language), F.col("lang").eqNullSafe(F.col("l")), "left")
         .withColumn("threshold", F.coalesce("threshold", F.lit(overall).cast("double"), F.lit(float("inf"))))

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pairloom.llm import (
@@ -24,7 +25,7 @@ from pairloom.llm import (
     url_filter,
     windows,
 )
-from pairloom.llm.common import BATCH_BYTES, WordHasher, components
+from pairloom.llm.common import BATCH_BYTES, WordHasher, components, stored
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, digest string, file string, row int"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -103,11 +104,10 @@ def test_sharding(spark, docs, nothing, rows):
 
 def kneser_ney(texts, order):
     """The model of `quality` for one language, by dictionaries: {order: {run: probability}}."""
-    table = quality.byte_classes()
     runs = Counter()
     for text in texts:
-        padded = [int(table[10])] * (order - 1) + [int(table[b]) for b in text.encode()]
-        runs.update(tuple(padded[i : i + order]) for i in range(len(text.encode())))
+        padded = "\n" * (order - 1) + text
+        runs.update(padded[i : i + order] for i in range(len(text)))
     models = {}
     for n in range(order, 0, -1):
         c = Counter(runs.values())
@@ -123,7 +123,7 @@ def kneser_ney(texts, order):
         models[n] = ({r: k - min(d[min(k, 3)], k) for r, k in runs.items()}, context, held)
         runs = Counter(r[1:] for r in runs)
     def probability(run):
-        p = 1 / quality.CLASSES
+        p = 1 / (len(models[1][0]) + 1)
         for n in range(1, order + 1):
             part = run[len(run) - n :]
             mass, context, held = models[n]
@@ -133,20 +133,49 @@ def kneser_ney(texts, order):
     return probability
 
 
-def test_quality_equals_plain_model(spark):
-    texts = ["the cat sat on the mat", "the hat is on the cat", "a cat, a hat.", "ZZ%%|| 99", "", None]
-    docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate(texts)] + [(None, None, "x y")], "doc_id long, lang string, text string")
-    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 1), (3, 0), (None, 1)], "doc_id long, quality int")
-    got = {r["doc_id"]: r for r in quality.quality(docs, labels).collect()}
-    probability = kneser_ney(texts[:3], quality.ORDER)
-    table = quality.byte_classes()
-    for i, text in enumerate(texts[:4]):
-        padded = [int(table[10])] * 3 + [int(table[b]) for b in text.encode()]
-        logs = [np.log(max(probability(tuple(padded[k : k + 4])), 1e-12)) for k in range(len(text))]
-        assert got[i]["perplexity"] == pytest.approx(np.exp(-np.mean(logs)), rel=1e-4)
-    assert not got[3]["kept"] and got[0]["kept"] and got[4]["perplexity"] == got[5]["perplexity"] == 1
+def unseen_ids(spark, n):
+    fold = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(quality.FOLDS))
+    return {r["id"] for r in spark.range(n).where(fold == 0).collect()}
+
+
+@pytest.mark.parametrize("block", [1 << 25, 300])
+def test_quality_equals_plain_model(spark, monkeypatch, block):
+    monkeypatch.setattr(quality, "BLOCK_BYTES", block)
+    rng = random.Random(block)
+    words = {"en": "the cat sat on a mat hat with that rat".split(), "ru": "кот сел на мат и кит шёл там".split(), None: "猫 坐在 垫子 上 𝄞 里".split()}
+    rows = []
+    for i in range(240):
+        lang = rng.choice(list(words))
+        junk = i % 6 == 5
+        text = " ".join(rng.choices(words[lang], k=rng.randint(3, 25)))
+        if junk:
+            text = "".join(rng.sample(text + "%$#@ыъ", len(text)))
+        rows.append((i, lang, text, int(not junk)))
+    rows += [(1000, "en", "", 1), (1001, "xx", "no trusted text", 0), (1002, "en", "a\0b", 0), (None, "en", "the cat", 1), rows[7]]
+    rows += [(1003, "ru", "кот " * 2000, 0)]
+    table = [(i, lang, t, "x", 0) for i, lang, t, _ in rows] + [(1004, "en", None, "x", 0)]
+    docs = spark.createDataFrame(table, "doc_id long, lang string, text string, block string, run int").repartition(3)
+    docs = stored(docs, "quality-test")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows] + [(3, None), (5, 1)], "doc_id long, quality int")
+    got = quality.quality(docs, labels).collect()
+    unseen, good = unseen_ids(spark, 1010), {r[0] for r in rows if r[3] and r[0] is not None} | {5}
+    assert len(got) == len(table) and {r["doc_id"] for r in got if r["trusted"]} == good
+    models = {lang: kneser_ney([t for i, x, t, _ in rows if x == lang and i in good - unseen], quality.ORDER) for lang in words}
+    found = {r["doc_id"]: r for r in got}
+    for i, lang, text, _ in rows:
+        text = text.replace("\0", "\ufffd")
+        padded = "\n" * (quality.ORDER - 1) + text
+        want = 1.0
+        if lang in models and text:
+            logs = [np.log(max(models[lang](padded[k : k + quality.ORDER]), 1e-12)) for k in range(len(text))]
+            want = np.exp(-np.mean(logs))
+        assert found[i]["perplexity"] == pytest.approx(want, rel=1e-4) and found[i]["n_tokens"] == len(text)
+    assert found[1004]["perplexity"] == 1 and found[1004]["kept"] and found[1001]["kept"]
+    junk = [found[i]["kept"] for i, _, _, ok in rows[:240] if not ok and i != 5]
+    clean = [found[i]["kept"] for i, _, _, ok in rows[:240] if ok]
+    assert np.mean(junk) < 0.2 and np.mean(clean) > 0.9
     assert quality.quality(docs.limit(0), labels).count() == 0
-    assert quality.quality(docs, labels.limit(0)).where("kept").count() == 7
+    assert quality.quality(docs, labels.limit(0)).where("kept").count() == len(table)
 
 
 def test_url_filter(spark):

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -557,3 +558,33 @@ def test_the_parse_says_which_pages_have_main_text(spark):
     assert [got[i] for i in range(4)] == [f"text {i}" for i in range(4)]
     assert got[10] == "all of it" and got[11].startswith("read more\nw0 w1") and got[11].endswith("w29")
     assert got[12] == "a b c d e f g h i"
+
+
+@pytest.mark.parametrize(
+    "broken",
+    ["<a ", "x <b y ", '<a ">" ', "<a '", "<!-- ", "<script></script ", '<article class="ad">', "</ul>x", "<div></span>", "<div><p>t ", '<div class="ad">x ', "<a\"", "<"],
+)
+def test_broken_pages_take_linear_time(broken):
+    """Five megabytes of it; less after an article, with and without a last >."""
+    body = broken * (5_000_000 // len(broken))
+    less = body[:200_000]
+    for page in (body, "<article><p>story</p></article>" + less, less + ">", less + '"\'>'):
+        start = time.perf_counter()
+        found = html_text.blocks(page)
+        assert time.perf_counter() - start < 40
+        if page.startswith("<article><p>story"):
+            assert found[0] == ("story", "main")
+
+
+def test_text_of_broken_tags_stays():
+    assert html_text.blocks("<p>a <b c") == [("a <b c", "other")]
+    assert html_text.blocks('<p>a</p><a title="x>y">b</a><p>1 < 2 <i>c') == [("a", "other"), ("b", "other"), ("1 < 2 c", "other")]
+    assert html_text.blocks('<p>a</p><a title="x>b</a><p>c') == [("a", "other"), ("b", "other"), ("c", "other")]
+
+
+def test_no_article_text_is_lost_to_a_class_word():
+    page = """<article><h2 id="comments">Comments on the law</h2><p class="share">share of the market rose</p>
+    <div class="widget">a widget is a thing</div><blockquote class="notice">take notice</blockquote>
+    <div class="ad">buy</div><div id="comments"><p>reader</p></div><ul class="share"><li>tweet</li></ul></article>"""
+    kept = [t for t, zone in html_text.blocks(page) if zone == "main"]
+    assert kept == ["Comments on the law", "share of the market rose", "a widget is a thing", "take notice"]

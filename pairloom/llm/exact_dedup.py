@@ -5,11 +5,13 @@ aggregation whose state lies on disk (RocksDB) under the checkpoint folder and n
 digest it retains the best document so far, with the locator of its content, and the number of
 documents. Later runs with the same folder go on from that state. The state is read back as a table.
 
-Where a digest was hit more than once, the full bytes of all documents hit are compared; documents of
-one digest with different bytes are grouped by their bytes instead.
+Where a digest was hit more than once, the full bytes of all documents of the table that hit it are
+compared; documents of one digest with different bytes are grouped by their bytes instead. Documents of
+earlier runs are known by digest and locator; their content is not read again.
 
 Nulls: a null text counts as empty; a null doc_id ranks after any other. Repeated rows are documents
-of their own, told apart by their place in the table; one of them stays. Empty tables give no rows.
+of their own, told apart by their place in the table; one of them stays. Very long texts are compared
+whole. Other columns may have any name. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -63,15 +65,18 @@ def _disk_state(spark: SparkSession) -> Iterator[None]:
 
 
 def with_locator(docs: DataFrame) -> DataFrame:
-    """Columns __content_file and __content_row added: where each row is stored. A table that is not read from files
-    is stored first."""
+    """Two columns added at the end: the file and the row where each row is stored, under names that the
+    table does not have. A table that is not read from files is stored first."""
+    taken, names = {c.lower() for c in docs.columns}, []
+    for name in ("content_file", "content_row"):
+        while name in taken:
+            name = "_" + name
+        names.append(name)
     for table in (lambda: docs, lambda: stored(docs, "content")):
         try:
             df = table()
             place = df.metadataColumn("_metadata")
-            return df.select(
-                "*", place.getField("file_path").alias("__content_file"), place.getField("row_index").alias("__content_row")
-            )
+            return df.select("*", place.getField("file_path").alias(names[0]), place.getField("row_index").alias(names[1]))
         except AnalysisException:
             continue
     raise ValueError("the stored table has no file metadata")
@@ -110,6 +115,7 @@ def exact_dedup(
     that `docs` comes from `with_locator`."""
     spark = docs.sparkSession
     content_of = docs if placed else with_locator(docs)
+    file, row = content_of.columns[-2:]
     norm = normalized(F.col(f"`{text}`"))
     folder = work_dir(spark, "dedup")
     keyed = content_of.select(
@@ -117,8 +123,8 @@ def exact_dedup(
         digest(norm).alias("digest"),
         F.length(F.coalesce(F.col(f"`{text}`"), F.lit(""))).cast("bigint").alias("n_points"),
         F.bitwise_not(F.col(f"`{doc_id}`")).alias("rev_id"),
-        F.col("__content_file").alias("file"),
-        F.col("__content_row").alias("row"),
+        F.col(file).alias("file"),
+        F.col(row).alias("row"),
     )
     keyed.write.parquet(f"{folder}/keyed")
     rows = spark.read.schema(keyed.schema).parquet(f"{folder}/keyed")
@@ -128,12 +134,12 @@ def exact_dedup(
         "digest", F.struct(*BEST).alias("best"), "group_size", F.lit(None).cast("string").alias("bytes")
     )
     hits = rows.join(state.where("group_size > 1").select("digest"), "digest", "left_semi").select(
-        "digest", F.col("file").alias("__content_file"), F.col("row").alias("__content_row"), *BEST[:2]
+        "digest", "file", "row", *BEST[:2]
     )
     n_hits = state.where("group_size > 1").agg(F.sum("group_size")).first()[0] or 0
     if n_hits <= BROADCAST_HITS:
         hits = F.broadcast(hits)
-    content = content_of.select("__content_file", "__content_row", norm.alias("bytes")).join(hits, ["__content_file", "__content_row"])
+    content = content_of.select(F.col(file).alias("file"), F.col(row).alias("row"), norm.alias("bytes")).join(hits, ["file", "row"])
     uneven = stored(
         content.groupBy("digest").agg(F.min("bytes").alias("a"), F.max("bytes").alias("b")).where("a <> b").select("digest"),
         "uneven",
@@ -142,7 +148,7 @@ def exact_dedup(
         decided = rows.join(groups.drop("bytes"), "digest")
     else:
         split = content.join(uneven, "digest").select(
-            "digest", "bytes", F.struct(*BEST[:2], F.col("__content_file").alias("file"), F.col("__content_row").alias("row")).alias("me")
+            "digest", "bytes", F.struct(*BEST).alias("me")
         )
         exact = split.groupBy("digest", "bytes").agg(
             F.max("me").alias("best"), F.count(F.lit(1)).alias("group_size")
@@ -167,8 +173,6 @@ def exact_dedup(
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with their own columns. Each is looked up by its place."""
     placed = with_locator(docs)
-    keep = exact_dedup(placed, placed=True).where("kept")
-    kept = placed.join(
-        keep.select(F.col("file").alias("__content_file"), F.col("row").alias("__content_row")), ["__content_file", "__content_row"], "left_semi"
-    )
-    return kept.drop("__content_file", "__content_row")
+    file, row = placed.columns[-2:]
+    keep = exact_dedup(placed, placed=True).where("kept").select(F.col("file").alias(file), F.col("row").alias(row))
+    return placed.join(keep, [file, row], "left_semi").drop(file, row)

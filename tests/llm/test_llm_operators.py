@@ -588,3 +588,11 @@ def test_no_article_text_is_lost_to_a_class_word():
     <div class="ad">buy</div><div id="comments"><p>reader</p></div><ul class="share"><li>tweet</li></ul></article>"""
     kept = [t for t, zone in html_text.blocks(page) if zone == "main"]
     assert kept == ["Comments on the law", "share of the market rose", "a widget is a thing", "take notice"]
+
+
+def test_copies_in_a_table_with_clashing_columns(spark):
+    rows = [(1, "a b", "f", 1, "x"), (2, "ab ", "g", 2, "y"), (3, None, "h", 3, "z"), (4, "", "i", 4, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Content_File string, _content_row long, file string")
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]

@@ -4,6 +4,7 @@ from collections import Counter
 
 import regex
 
+# Fixed value: the pretoken pattern.
 PATTERN = regex.compile(
     r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )

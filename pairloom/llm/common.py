@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pairloom.session import remove_folder, work_dir
 
 BATCH_BYTES = 1 << 19
+HOT_KEYS = 1000
 # The characters between words.
 SPACES = b" \t\n\x0b\x0c\r"
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -42,6 +43,16 @@ def discard(*tables: DataFrame) -> None:
         tables[0].sparkSession._jvm.System.gc()
 
 
+def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str]) -> DataFrame:
+    """`rows` joined with `keyed`, one row for each key with the number `n` of its rows. Keys that have more
+    than one in `HOT_KEYS` of the rows, of which there are fewer than that, come by broadcast, so that
+    none fills a task; all others by a shuffle. Both tables are read several times and should be stored."""
+    total = rows.count()
+    hot = F.broadcast(keyed.where(F.col("n") * HOT_KEYS > total).drop("n"))
+    cold = keyed.where(F.col("n") * HOT_KEYS <= total).drop("n")
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(cold, on))
+
+
 def same_columns(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in like.columns])
 

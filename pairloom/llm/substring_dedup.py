@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import WordHasher, by_bytes, text_bytes
+from pairloom.llm.common import WordHasher, by_bytes, join_counted, stored, text_bytes
 from pairloom.llm.windows import Streams, repeated_windows
 
 SIZE = 50
@@ -74,10 +74,10 @@ def substring_dedup(docs: DataFrame, *, size: int = SIZE, part: int = PART) -> D
         F.col("text").cast("string").alias("text"),
     )
     known = rows.where("doc_id is not null")
-    firsts = known.groupBy("content", "row").agg(F.min("doc_id").alias("first"))
+    places = stored(known.select("doc_id", "row", "content"), "text-places")
+    firsts = places.groupBy("content", "row").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
     copies = (
-        known.select("doc_id", "row", "content")
-        .join(firsts, ["content", "row"])
+        join_counted(places, stored(firsts.where("n > 1"), "text-copies"), ["content", "row"])
         .where("doc_id > first")
         .select("doc_id", "row", F.lit(None).cast("int").alias("at"), F.lit(True).alias("copied"))
     )

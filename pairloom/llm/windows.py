@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import BASE, BASE_INVERSE, collect_slots, dense, gram_hashes, mixed, slot_of, stored
+from pairloom.llm.common import BASE, BASE_INVERSE, collect_slots, dense, gram_hashes, join_counted, mixed, slot_of, stored
 
 SLOTS = 1 << 24
 
@@ -148,8 +148,9 @@ def repeated_windows(rows: DataFrame, streams_of: StreamsOf, *, size: int, part:
     windows = shared_windows(rows, streams_of, size=size, part=part, slots=slots)
     known = (
         windows.groupBy("h1", "h2")
-        .agg(F.min("owner").alias("first_owner"), F.max("owner").alias("hi"))
+        .agg(F.min("owner").alias("first_owner"), F.max("owner").alias("hi"), F.count(F.lit(1)).alias("n"))
         .where("first_owner <> hi")
         .drop("hi")
     )
-    return windows.join(known, ["h1", "h2"]).select("owner", "row", "at", "first_owner")
+    found = join_counted(windows, stored(known, "repeated-windows"), ["h1", "h2"])
+    return found.select("owner", "row", "at", "first_owner")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pairloom.llm import (
+    common,
     decontaminate,
     exact_dedup,
     html_text,
@@ -596,3 +597,13 @@ def test_copies_in_a_table_with_clashing_columns(spark):
     kept = exact_dedup.drop_copies(docs)
     assert kept.columns == docs.columns
     assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+
+
+@pytest.mark.parametrize("hot", [1, 4, 1000])
+def test_join_with_hot_keys_equals_a_plain_join(spark, monkeypatch, hot):
+    monkeypatch.setattr(common, "HOT_KEYS", hot)
+    rows = stored(spark.createDataFrame([(i, 0 if i % 2 else i % 7) for i in range(100)], "i int, k int"), "join-rows")
+    keyed = stored(rows.where("k <> 3").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("least")), "join-keys")
+    got = common.join_counted(rows, keyed, ["k"])
+    want = rows.join(keyed.drop("n"), ["k"])
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())

@@ -1,10 +1,13 @@
 """The registered queries and the pipeline on the smallest tables."""
 
+import zlib
+from collections import defaultdict
+
 import duckdb
 import pytest
 
 import corpus_pipeline
-from pairloom.llm.queries import ORACLES, QUERIES
+from pairloom.llm.queries import ORACLES, QUERIES, URL_RULES
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -27,6 +30,43 @@ def test_query(spark, sf_dir, name):
     assert rows == sorted((tuple(r[i] for i in order) for r in want.fetchall()), key=by_null)
 
 
+def test_shards_keep_their_law(spark, sf_dir):
+    """Sizes, checksums, one shard and slot for each row, counts at most one apart, slots without gaps."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = QUERIES["op1_sharding"](spark, sf_dir).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    slots = defaultdict(list)
+    for r in got:
+        raw = (texts[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 8, zlib.crc32(raw), "rows", None)
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(24))
+    counts = [len(slots[i]) for i in range(24)]
+    assert max(counts) - min(counts) <= 1
+
+
+def test_url_parts_and_rules(spark, sf_dir):
+    """Host, path and rule by plain string work; what a rule decides stands."""
+    urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    got = QUERIES["op3_url_filter"](spark, sf_dir).collect()
+    assert sorted(r["page_id"] for r in got) == sorted(urls)
+    for r in got:
+        before, found, rest = (urls[r["page_id"]] or "").partition("://")
+        cut = lambda text, ends: text[: min((text.find(e) for e in ends if e in text), default=len(text))]
+        host = cut(rest, "/?#") if found else ""
+        path = cut(rest[len(host) :], "?#") if found else ""
+        host = host.translate(lower)
+        fits = []
+        for verdict, rule in URL_RULES:
+            suffix, _, prefix = rule.partition("/")
+            if (host == suffix or host.endswith("." + suffix)) and path.startswith("/" + prefix):
+                fits.append((len(rule), rule, verdict))
+        rule, verdict = max(fits)[1:] if fits else (None, r["verdict"])
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, rule, verdict)
+        assert r["verdict"] in ("allow", "block")
+
+
 def test_pipeline(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before = docs.count()

@@ -38,6 +38,7 @@ KEEP = 0.99
 FOLDS = 5  # one of them sets the threshold, the others train
 BLOCK_BYTES = 32 << 20
 CHUNK_BYTES = 4 << 20
+BROADCAST_LABELS = 2_000_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -266,6 +267,8 @@ def quality(docs: DataFrame, labels: DataFrame, *, keep: float = KEEP) -> DataFr
         F.col("doc_id").cast("bigint").alias("doc_id"),
     )
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+    if labels.count() <= BROADCAST_LABELS:  # 16 bytes each; beyond that, the text moves to its label
+        good = F.broadcast(good)
     unseen = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)) == 0
     model = KneserNey(rows.where(~unseen).join(good, "doc_id", "left_semi"))
     asked = stored(rows.select("lang", "text").mapInArrow(_asked_task, "block bigint, lang string, run string"), "asked-runs")

@@ -143,6 +143,7 @@ def unseen_ids(spark, n):
 @pytest.mark.parametrize("block", [1 << 25, 300])
 def test_quality_equals_plain_model(spark, monkeypatch, block):
     monkeypatch.setattr(quality, "BLOCK_BYTES", block)
+    monkeypatch.setattr(quality, "BROADCAST_LABELS", 0 if block == 300 else 1000)
     rng = random.Random(block)
     words = {"en": "the cat sat on a mat hat with that rat".split(), "ru": "кот сел на мат и кит шёл там".split(), None: "猫 坐在 垫子 上 𝄞 里".split()}
     rows = []

@@ -200,9 +200,10 @@ class KneserNey:
     def __init__(self, trusted: DataFrame):
         raw = trusted.select("lang", "text").mapInArrow(_counts_task, "lang string, run string, n bigint")
         top = raw.groupBy("lang", "run").agg(F.sum("n").alias("n"))
-        self.discounted, self.contexts = {}, {}
+        self.discounted, self.contexts, self.tables = {}, {}, []
         for order in range(ORDER, 0, -1):
             top = stored(top, f"runs-{order}")
+            self.tables.append(top)
             self._order(order, top)
             # lower orders count in how many ways a run is continued to the left
             top = top.groupBy("lang", _suffix().alias("run")).agg(F.count(F.lit(1)).alias("n"))
@@ -230,6 +231,7 @@ class KneserNey:
             ),
             f"contexts-{order}",
         )
+        self.tables.append(self.contexts[order])
 
     def log_probabilities(self, asked: DataFrame) -> DataFrame:
         """(lang, run, log_p) for (lang, run): sharded joins with the counts, lowest order first."""
@@ -273,6 +275,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, keep: float = KEEP) -> DataFr
     model = KneserNey(rows.where(~unseen).join(good, "doc_id", "left_semi"))
     asked = stored(rows.select("lang", "text").mapInArrow(_asked_task, "block bigint, lang string, run string"), "asked-runs")
     known = stored(model.log_probabilities(asked.select("lang", "run").distinct()), "log-probabilities")
+    discard(*model.tables)  # with the shuffle files of all that made them
     k = known.select(F.col("lang").alias("l"), F.col("run").alias("r"), "log_p")
     answers = asked.join(k, asked["lang"].eqNullSafe(k["l"]) & (asked["run"] == k["r"])).select("block", "lang", "run", "log_p")
     packed = rows.mapInArrow(_blocked_task, "block bigint, lang string, packed binary, doc_id bigint")

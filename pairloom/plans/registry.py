@@ -418,11 +418,9 @@ def roundtrip_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        spark.readStream.schema("doc_id bigint, text string")
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
-    )
+    """The table is one file or a folder of files. A stream takes a folder or a pattern, so its name is
+    given as a pattern that fits nothing else."""
+    return spark.readStream.schema("doc_id bigint, text string").parquet(f"{sf_dir}/documents.parque[t]")
 
 
 def encode_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,3 +36,12 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["doc_id", "ids"]
+
+
+@pytest.mark.parametrize("name", ["encode_stream", "pretoken_counts_stream"])
+def test_streams_read_a_table_that_is_a_folder(spark, tmp_path, name):
+    docs = spark.createDataFrame([(i, f"the {i}th") for i in range(6)], "doc_id long, text string")
+    docs.repartition(3).write.parquet(f"{tmp_path}/many/documents.parquet")
+    docs.toPandas().to_parquet((tmp_path / "documents.parquet"), index=False)
+    got, want = (sorted(map(tuple, QUERIES[name](spark, d).collect())) for d in (f"{tmp_path}/many", str(tmp_path)))
+    assert got == want != []

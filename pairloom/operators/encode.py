@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from heapq import heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +26,22 @@ from pairloom.functions.symbols import (
     symbol_word,
 )
 from pairloom.functions.text import clean_specials, pretokens
+from pairloom.operators.batches import list_offsets, list_slices
 
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 24 << 20
+SHORT_WORD = 24
+
+
+def _fold_short(word: str, rules: Sequence[str], ranks: Mapping[str, Sequence[int]]) -> str:
+    """`fold_word` for a few symbols: looking at all pairs again costs less than keeping a heap."""
+    done = -1
+    while True:
+        listed = filter(None, map(ranks.get, map(add, word, word[1:])))
+        rank = min([r for places in listed for r in places if r > done], default=None)
+        if rank is None:
+            return word
+        rule, done = rules[rank], rank
+        word = word.replace(rule[:2], rule[2])
 
 
 def fold_word(word: str, rules: Sequence[str], ranks: Mapping[str, Sequence[int]]) -> str:
@@ -37,6 +51,8 @@ def fold_word(word: str, rules: Sequence[str], ranks: Mapping[str, Sequence[int]
     count. Places of one rank come out from left to right, so a pair that an earlier merge of the same
     rule took a symbol from is found changed and skipped. The cost is that of the merges made.
     """
+    if len(word) <= SHORT_WORD:
+        return _fold_short(word, rules, ranks)
     symbols: list[str | None] = list(word)
     after = list(range(1, len(symbols) + 1))
     before = list(range(-1, len(symbols) - 1))
@@ -97,22 +113,22 @@ def _arrow_ids(rules: Sequence[str], ids_of: Mapping[str, Sequence[int]], specia
                 return specials[pretoken]
             if pretoken not in memo:
                 word = fold_word(pretoken.encode("utf-8").decode("latin-1"), rules, ranks)
-                held += 200 + 40 * len(pretoken)  # bytes of text, list and numbers, roughly
+                found = [i for symbol in word for i in ids_of.get(symbol, ())]
+                held += (size := 220 + 4 * len(pretoken) + 9 * len(found))  # bytes of text, list and entry, roughly
                 if held > MEMO_BYTES:
                     memo.clear()
-                    held = 200 + 40 * len(pretoken)
-                memo[pretoken] = [i for symbol in word for i in ids_of.get(symbol, ())]
+                    held = size
+                memo[pretoken] = found
             return memo[pretoken]
 
-        for batch in texts:
-            found = batch.flatten().dictionary_encode()
+        for part in list_slices(texts):
+            found = part.flatten().dictionary_encode()
             rows = pa.array([ids(p) for p in found.dictionary.to_pylist()], pa.list_(pa.int32()))
             tokens = rows.take(found.indices)
-            ends = np.concatenate(([0], np.cumsum(pc.list_value_length(tokens).to_numpy(False))))
-            docs = np.concatenate(([0], np.cumsum(pc.list_value_length(batch).to_numpy(False))))
-            offsets = ends[docs.astype(np.int64)]
+            ends = list_offsets(tokens)
+            offsets = ends[list_offsets(part)]
             if offsets[-1] >= 1 << 31:
-                raise OverflowError("a batch has more than 2^31 tokens; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+                raise OverflowError("a text has more than 2^31 tokens")
             offsets = offsets.astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(offsets), tokens.flatten())
 

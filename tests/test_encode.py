@@ -1,10 +1,12 @@
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators import decode, encode, vocab
+from pairloom.operators.batches import SLICE_VALUES
 from pairloom.plans.tokenizer import Tokenizer, merge_table
 
 D = "<|endoftext|>"
@@ -157,3 +159,26 @@ def test_many_specials_and_many_gaps(spark):
     assert ids(tok, rows(spark, texts)) == [brute.encode(t, tokens, merges, specials) for t in texts]
     counts = spark.createDataFrame([("cdab", 1)], "pretoken string, n long")
     assert tok.encode_words(counts).first()["ids"] == [2, 3, 9]
+
+
+def test_short_and_long_words_fold_alike():
+    rng = random.Random(5)
+    symbols = "abcuvwxyz"
+    for _ in range(400):
+        rules = [rng.choice(symbols) + rng.choice(symbols) + rng.choice(symbols) for _ in range(8)]
+        want = word = "".join(rng.choice("abc") for _ in range(rng.randint(0, encode.SHORT_WORD + 8)))
+        for rule in rules:
+            want = want.replace(rule[:2], rule[2])
+        assert encode.fold_word(word, rules, encode.rule_ranks(rules)) == want
+
+
+def test_a_large_batch_is_encoded_in_parts(spark):
+    words = ["ab", " ", "ba"] * 10
+    batch = pa.array([words] * 20_000 + [[], None, words], pa.list_(pa.string()))
+    tok = build(spark, {0: b"a", 1: b"b", 2: b" ", 3: b"ab"}, [(b"a", b"b")])
+    encoder = encode.Encoder(tok.merge_list, tok.token_ids, [])
+    ids_of = {c: [i] for c, i in encoder.id_of.items()}
+    parts = list(encode._arrow_ids(encoder.rules, ids_of, {}).func(iter([batch])))
+    assert max(len(p.values) for p in parts) <= 2 * SLICE_VALUES < sum(len(p.values) for p in parts)
+    want = [3, 2, 1, 0] * 10
+    assert [x for p in parts for x in p.to_pylist()] == [want] * 20_000 + [[], [], want]

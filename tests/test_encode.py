@@ -182,3 +182,31 @@ def test_a_large_batch_is_encoded_in_parts(spark):
     assert max(len(p.values) for p in parts) <= 2 * SLICE_VALUES < sum(len(p.values) for p in parts)
     want = [3, 2, 1, 0] * 10
     assert [x for p in parts for x in p.to_pylist()] == [want] * 20_000 + [[], [], want]
+
+
+def test_a_large_batch_is_decoded_in_parts(spark):
+    rows = [[0, 1, 7, None, 2]] * 120_000 + [[], None, [0, 2], [-1, 2]]
+    batch = pa.array([[9], *rows], pa.list_(pa.int32())).slice(1)
+    decoded = decode._arrow_text({0: b"\xc3", 1: b"\xa9", 2: b"x"}).func
+    parts = list(decoded(iter([batch])))
+    assert max(map(len, parts)) <= SLICE_VALUES // 4 < len(rows)
+    assert [x for p in parts for x in p.to_pylist()] == ["éx"] * 120_000 + ["", "", "�x", "x"]
+
+
+def test_decode_rows_in_any_order_with_null_and_repeated_keys(spark):
+    tok = build(spark, {i: bytes([b]) for i, b in enumerate(b"abcdefgh")}, [])
+    rows = [("x", p, p % 8) for p in range(50)] + [("y", 7, 3), ("y", None, 2), ("y", 7, 1), ("y", 2, None), ("y", 1, 0)]
+    rows += [(None, 1, 5), (None, 0, 4), ("z", 0, 99), ("x", 3, 0), ("x", 3, 7)]
+    random.Random(2).shuffle(rows)
+    tokens = spark.createDataFrame(rows, "id string, pos int, token_id int").repartition(3)
+    want = {}
+    for k, p, t in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2] is not None, r[2] or 0)):
+        want[k] = want.get(k, "") + ("abcdefgh"[t] if t is not None and t < 8 else "")
+    assert {r["id"]: r["text"] for r in decode.decode_rows(tokens, "id", tok.vocab).collect()} == want
+
+
+def test_decode_rows_shuffles_runs_not_tokens(spark):
+    keys = pa.array([1, 1, 1, None, None, 2, 1, 1], pa.int64())
+    batch = pa.RecordBatch.from_arrays([keys, pa.array(range(8), pa.int32()), pa.array(range(8), pa.int32())], names=["k", "p", "t"])
+    (got,) = decode._runs(iter([batch]))
+    assert [c.to_pylist() for c in got.columns] == [[1, None, 2, 1], [[0, 1, 2], [3, 4], [5], [6, 7]], [[0, 1, 2], [3, 4], [5], [6, 7]]]

@@ -32,15 +32,19 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return table
 
 
+def reclaim(spark: SparkSession) -> None:
+    """Have the driver collect what finished jobs left behind; only so does Spark's cleaner delete their
+    shuffle files and broadcasts before the driver's memory is full."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete tables that `stored` wrote and nothing reads any more. The driver then collects what
-    finished jobs left behind; only so does Spark's cleaner delete their shuffle files and broadcasts
-    before the driver's memory is full."""
+    """Delete tables that `stored` wrote and nothing reads any more, and what made them."""
     for table in tables:
         remove_folder(table.sparkSession, table.stored_at)
-    gc.collect()
     if tables:
-        tables[0].sparkSession._jvm.System.gc()
+        reclaim(tables[0].sparkSession)
 
 
 def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str]) -> DataFrame:

@@ -6,9 +6,9 @@ text and no alphabet is fixed. Counts, continuation counts and discounts are tab
 language and run. Below single characters lies an unknown class: the weight that the discounts of the
 trusted text's characters leave is spread evenly over them and one more.
 
-Scoring asks those shards. The documents are in blocks; each block's different runs are joined with
-the counts of all orders, interpolated from the lowest order up, and the probabilities go back to the
-block, where its documents are scored whole. A document is kept if its perplexity is at most the
+Scoring asks those shards. The documents are in blocks; the different runs of all blocks, each with the
+blocks that ask for it, are joined with the counts of all orders, interpolated from the lowest order up,
+and the probabilities go back to the blocks, where their documents are scored whole. A document is kept if its perplexity is at most the
 `KEEP` quantile of the trusted documents of its language that the model has not seen (of all of them
 where a language has none).
 
@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import by_bytes, discard, mixed, stored, text_bytes
+from pairloom.llm.common import by_bytes, discard, mixed, reclaim, stored, text_bytes
 
 ORDER = 5
 KEEP = 0.99
@@ -67,25 +67,30 @@ def _windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return runs[real], lengths
 
 
-def _strings(runs: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(runs, np.uint32).view(f"<U{ORDER}").ravel()
+def _strings(runs: np.ndarray) -> pa.Array:
+    """Rows of ORDER code points as texts."""
+    data = np.ascontiguousarray(runs, np.uint32)
+    sizes = 1 + sum((data >= least).sum(axis=1, dtype=np.int32) for least in (0x80, 0x800, 0x10000)) + np.int32(ORDER - 1)
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    text = data.tobytes().decode("utf-32-le").encode("utf-8")
+    return pa.StringArray.from_buffers(len(data), pa.py_buffer(offsets), pa.py_buffer(text))
 
 
 def _by_language(part: pa.RecordBatch, lang: int, text: int) -> Iterator[tuple[str | None, np.ndarray, np.ndarray, np.ndarray]]:
-    """(language, hash, string and number of its different runs) of a batch."""
+    """(language, hash, code points and number of its different runs) of a batch."""
     langs, texts = part.column(lang).to_pylist(), text_bytes(part.column(text))
     for name in dict.fromkeys(langs):
         runs, _ = _windows([t for t, x in zip(texts, langs) if x == name])
         keys, first, n = np.unique(_hashes(runs), return_index=True, return_counts=True)
         if len(keys):
-            yield name, keys, _strings(runs[first]), n
+            yield name, keys, runs[first], n
 
 
 def _counts_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, run, n), counted by chunk."""
     for part in by_bytes(batches, 1, CHUNK_BYTES):
         for lang, _, runs, n in _by_language(part, 0, 1):
-            columns = [pa.array([lang] * len(n), pa.string()), pa.array(runs.tolist(), pa.string()), pa.array(n.astype(np.int64))]
+            columns = [pa.array([lang] * len(n), pa.string()), _strings(runs), pa.array(n.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "run", "n"])
 
 
@@ -112,7 +117,7 @@ def _asked_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns = [
                 pa.array(np.full(len(runs), current, np.int64)),
                 pa.array([lang] * len(runs), pa.string()),
-                pa.array(runs.tolist(), pa.string()),
+                _strings(runs),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "run"])
 
@@ -129,30 +134,36 @@ def _asked_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _blocked_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (lang, text, doc_id) with their block; texts compressed for the way."""
+    """(block, lang, doc_ids, sizes, packed): the rows (lang, text, doc_id) of a chunk, their texts joined
+    and compressed for the way."""
     packer = pa.Codec("zstd", compression_level=3)
     for block, part in _blocks(batches, 1):
-        texts = text_bytes(part.column(1))
-        columns = [
-            pa.array(np.full(len(texts), block, np.int64)),
-            part.column(0),
-            pa.array([len(t).to_bytes(8, "little") + (packer.compress(t, asbytes=True) if t else b"") for t in texts], pa.binary()),
-            part.column(2),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "packed", "doc_id"])
+        langs, texts = part.column(0).to_pylist(), text_bytes(part.column(1))
+        for lang in dict.fromkeys(langs):
+            at = [i for i, x in enumerate(langs) if x == lang]
+            data = b"".join([texts[i] for i in at])
+            columns = [
+                pa.array([block], pa.int64()),
+                pa.array([lang], pa.string()),
+                pa.array([part.column(2).take(pa.array(at)).to_pylist()], pa.list_(pa.int64())),
+                pa.array([[len(texts[i]) for i in at]], pa.list_(pa.int64())),
+                pa.array([packer.compress(data, asbytes=True) if data else b""], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "doc_ids", "sizes", "packed"])
 
 
 def _score_group(docs, answers):
     """Perplexity of each document of one block and language."""
     packer = pa.Codec("zstd")
-    runs = "".join(answers.column("run").to_pylist())
+    runs = "".join(["".join(chunk.to_pylist()) for chunk in answers.column("run").chunks])
     known = _hashes(np.frombuffer(runs.encode("utf-32-le"), np.uint32).reshape(-1, ORDER))
     order = np.argsort(known)
     known, log_p = known[order], answers.column("log_p").to_numpy()[order]
-    n_tokens, perplexity, waiting, held = [], [], [], 0
-
-    def score() -> None:
-        asked, lengths = _windows(waiting)
+    n_tokens, perplexity = [], []
+    for sizes, packed in zip(docs.column("sizes").to_pylist(), docs.column("packed").to_pylist()):
+        data = packer.decompress(packed, sum(sizes), asbytes=True) if packed else b""
+        ends = np.cumsum(sizes).tolist()
+        asked, lengths = _windows([data[end - size : end] for size, end in zip(sizes, ends)])
         asked = _hashes(asked)
         at = np.minimum(np.searchsorted(known, asked), max(len(known) - 1, 0))
         if len(asked) and (len(known) == 0 or (known[at] != asked).any()):
@@ -161,21 +172,11 @@ def _score_group(docs, answers):
         ends = np.cumsum(lengths)
         n_tokens.extend(lengths.tolist())
         perplexity.extend(np.exp((sums[ends - lengths] - sums[ends]) / np.maximum(lengths, 1)).tolist())
-        waiting.clear()
-
-    for packed in docs.column("packed").to_pylist():
-        size = int.from_bytes(packed[:8], "little")
-        waiting.append(packer.decompress(packed[8:], size, asbytes=True) if size else b"")
-        held += size
-        if held > CHUNK_BYTES:
-            score()
-            held = 0
-    if waiting:
-        score()
+    ids = [i for chunk in docs.column("doc_ids").to_pylist() for i in chunk]
     return pa.table(
         {
-            "doc_id": docs.column("doc_id"),
-            "lang": docs.column("lang"),
+            "doc_id": pa.array(ids, pa.int64()),
+            "lang": pa.array(docs.column("lang").to_pylist()[:1] * len(ids), pa.string()),
             "n_tokens": pa.array(n_tokens, pa.int64()),
             "perplexity": pa.array(perplexity, pa.float64()),
         }
@@ -273,21 +274,32 @@ def quality(docs: DataFrame, labels: DataFrame, *, keep: float = KEEP) -> DataFr
         good = F.broadcast(good)
     unseen = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(FOLDS)) == 0
     model = KneserNey(rows.where(~unseen).join(good, "doc_id", "left_semi"))
-    asked = stored(rows.select("lang", "text").mapInArrow(_asked_task, "block bigint, lang string, run string"), "asked-runs")
-    known = stored(model.log_probabilities(asked.select("lang", "run").distinct()), "log-probabilities")
+    reclaim(docs.sparkSession)
+    asked = rows.select("lang", "text").mapInArrow(_asked_task, "block bigint, lang string, run string")
+    asked = asked.repartition("lang", "run")  # a task has nearly all of its runs once: nothing to combine before
+    asked = stored(asked.groupBy("lang", "run").agg(F.collect_list("block").alias("blocks")), "asked-runs")
+    reclaim(docs.sparkSession)
+    known = stored(model.log_probabilities(asked.select("lang", "run")), "log-probabilities")
     discard(*model.tables)  # with the shuffle files of all that made them
     k = known.select(F.col("lang").alias("l"), F.col("run").alias("r"), "log_p")
-    answers = asked.join(k, asked["lang"].eqNullSafe(k["l"]) & (asked["run"] == k["r"])).select("block", "lang", "run", "log_p")
-    packed = rows.mapInArrow(_blocked_task, "block bigint, lang string, packed binary, doc_id bigint")
+    answers = stored(
+        asked.join(k, asked["lang"].eqNullSafe(k["l"]) & (asked["run"] == k["r"])).select("lang", "run", "log_p", "blocks"),
+        "answers",
+    )
+    discard(asked, known)
+    asked_by = answers.select(F.explode("blocks").alias("block"), "lang", "run", "log_p")
+    packed = rows.mapInArrow(
+        _blocked_task, "block bigint, lang string, doc_ids array<bigint>, sizes array<bigint>, packed binary"
+    )
     schema = "doc_id bigint, lang string, n_tokens bigint, perplexity double"
-    found = packed.groupBy("block", "lang").cogroup(answers.groupBy("block", "lang")).applyInArrow(_score_group, schema)
+    found = packed.groupBy("block", "lang").cogroup(asked_by.groupBy("block", "lang")).applyInArrow(_score_group, schema)
     scored = stored(
         found.join(good.withColumn("is_good", F.lit(True)), "doc_id", "left").select(
             "doc_id", "lang", F.coalesce("is_good", F.lit(False)).alias("trusted"), "n_tokens", "perplexity"
         ),
         "perplexities",
     )
-    discard(asked, known)
+    discard(answers)
     quantile = F.percentile_approx("perplexity", F.lit(keep), F.lit(10000)).alias("threshold")
     held_out = scored.where(F.col("trusted") & unseen)
     by_language = held_out.groupBy(F.col("lang").alias("l")).agg(quantile)

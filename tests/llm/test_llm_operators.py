@@ -28,6 +28,7 @@ from pairloom.llm import (
     windows,
 )
 from pairloom.llm.common import BATCH_BYTES, WordHasher, components, stored
+from pairloom.session import list_folder, shared_dir
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, digest string, file string, row int"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -181,6 +182,39 @@ def test_quality_equals_plain_model(spark, monkeypatch, block):
     assert quality.quality(docs, labels.limit(0)).where("kept").count() == len(table)
 
 
+def tables_at(spark, monkeypatch, module, last):
+    """What `module` stores, by label, and the labels that lie in the shared folder when `last` is stored."""
+    before, kept, beside = set(list_folder(spark, shared_dir(spark))), {}, set()
+
+    def noted(df, label, **options):
+        if label == last:
+            beside.update(name.rsplit("-", 1)[0] for name in set(list_folder(spark, shared_dir(spark))) - before)
+        table = stored(df, label, **options)
+        kept[label] = (table.columns, table.count())
+        return table
+
+    monkeypatch.setattr(module, "stored", noted)
+    return kept, beside
+
+
+def test_quality_asks_for_a_run_once_and_frees_its_tables(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 30)  # each text is a block
+    docs = spark.createDataFrame([(i, "en", "the cat sat on the mat", 1) for i in range(20)], "doc_id long, lang string, text string, quality int")
+    docs = stored(docs, "quality-test")
+    kept, beside = tables_at(spark, monkeypatch, quality, "perplexities")
+    assert quality.quality(docs, docs).where("kept").count() == 20
+    text = "\n\n\n\nthe cat sat on the mat"
+    assert kept["asked-runs"][1] == len({text[k : k + 5] for k in range(len(text) - 4)})
+    assert not beside & {"asked-runs", "log-probabilities", "contexts-5", "runs-5"}
+
+
+@pytest.mark.parametrize("text", ["plain", "кот сел", "猫坐在垫子", "𝄞é\ufffda𝄞b\n\n"])
+def test_runs_as_strings(text):
+    runs, _ = quality._windows([text.encode()])
+    padded = "\n" * 4 + text
+    assert quality._strings(runs).to_pylist() == [padded[k : k + 5] for k in range(len(text))]
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "HTTP://Www.Example.COM/en/1?x#y", "http://a.example.com/en/2", "x://b.net/es/", "x://b.net#/es/", "x://net/fr/z", "x://.net/fr/z", "http://xcom/", "q://é.COM/"]
     urls += [f"http://n.net/{lang}/{i}" for lang in ("es", "en") for i in range(40)] + [f"http://s.org/post/{'abcdef'[i % 6]}{i}x" for i in range(30)]

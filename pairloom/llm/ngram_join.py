@@ -39,6 +39,7 @@ from pairloom.llm.common import (
     gram_hashes,
     list_array,
     mixed,
+    reclaim,
     slot_of,
     stored,
     text_bytes,
@@ -186,27 +187,31 @@ class NgramJoin:
             F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")
         )
         self.size, self.percent = size, percent
-        self.keys = stored(self.docs.mapInArrow(_keys_task(size, percent), KEYS), "ngram-keys")
+        reclaim(self.spark)  # the shuffles of what came before
+        with_prefix = stored(self.docs.mapInArrow(_keys_task(size, percent), KEYS), "ngram-keys")
+        self.levels = self._levels(with_prefix)
+        self.keys = stored(with_prefix.select("doc_id", "node", "n"), "ngram-ids")
+        discard(with_prefix)
         self.sets = stored(
             self.keys.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")), "ngram-sets"
         )
 
     # -- groups and buckets
 
-    def _levels(self):
-        counts = self.keys.select(F.explode("prefix").alias("token")).groupBy("token").count()
+    def _levels(self, keys: DataFrame):
+        counts = keys.select(F.explode("prefix").alias("token")).groupBy("token").count()
         often = counts.where(F.col("count") >= COMMON).select(
             slot_of(F.col("token"), SLOTS).alias("slot"), F.floor(F.log2("count")).cast("tinyint").alias("level")
         )
         return self.spark.sparkContext.broadcast(collect_slots(often, SLOTS))
 
     def _members(self) -> DataFrame:
-        """(node, n, sketch, gid, prefix), one row for each different set."""
-        task = _nodes_task(self.size, self.percent, self._levels(), SLOTS)
+        """(node, n, prefix, sketch, gid), one row for each different set."""
+        task = _nodes_task(self.size, self.percent, self.levels, SLOTS)
         nodes = self.docs.mapInArrow(task, NODES).groupBy("node").agg(
             *[F.first(c).alias(c) for c in ("n", "prefix", "sketch")]
         )
-        return stored(nodes.withColumn("gid", F.xxhash64("n", "prefix")), "ngram-members")
+        return stored(nodes.withColumn("gid", F.xxhash64("n", "prefix")), "ngram-prefixes")
 
     def _shared_postings(self, groups: DataFrame) -> DataFrame:
         """(gid, pos, token) for the prefix shingles that several nodes have. Most have one only: a
@@ -255,6 +260,7 @@ class NgramJoin:
             .select("a", "b", "na", "nb")
         )
         near = stored(near, "ngram-pairs")
+        reclaim(self.spark)
         involved = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
         first = involved.join(self.sets, "node").select("first_id")
         ids = first.where("first_id is not null")
@@ -267,6 +273,7 @@ class NgramJoin:
             tokens.join(involved, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens")),
             "ngram-tokens",
         )
+        reclaim(self.spark)
         shared = F.size(F.array_intersect("ta", "tb"))
         links = stored(
             near.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
@@ -319,19 +326,25 @@ class NgramJoin:
 
     def labels(self) -> DataFrame:
         """(node, label) of all nodes that are linked with another."""
-        members = self._members()
+        # prefixes are the bulk of these tables, and go as soon as the next one is made of them
+        with_prefix = self._members()
+        reclaim(self.spark)
+        members = stored(with_prefix.drop("prefix"), "ngram-members")
         groups = stored(
-            members.groupBy("gid").agg(
+            with_prefix.groupBy("gid").agg(
                 F.min("node").alias("head"), F.count(F.lit(1)).alias("size"), *[F.first(c).alias(c) for c in ("n", "prefix")]
             ),
             "ngram-groups",
         )
+        discard(with_prefix)
         postings = stored(
             self._shared_postings(groups).join(groups.select("gid", "head", "n", self._band().alias("band")), "gid"),
             "ngram-postings",
         )
+        heads = stored(groups.where("size > 1").select("gid", "head"), "ngram-heads")
+        discard(groups)
         across = self._meet_hubs(postings.withColumn("label", F.col("head")), "token", "band")
-        within = members.join(groups.where("size > 1").select("gid", "head"), "gid").where("node <> head").select(
+        within = members.join(heads, "gid").where("node <> head").select(
             F.col("node").alias("a"), F.col("head").alias("b")
         )
         links = self._verified(across.union(within), members)
@@ -393,7 +406,7 @@ class NgramJoin:
         more = self._verified(pairs, members)
         if not more.isEmpty():
             labels = stored(components(links.union(more)), "ngram-labels")
-        discard(members, groups, postings, rows)
+        discard(members, heads, postings, rows)
         return labels
 
     def documents(self) -> DataFrame:

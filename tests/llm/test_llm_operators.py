@@ -289,6 +289,15 @@ def test_ngram_components_of_a_large_cluster(spark):
     assert Counter(tuple(r) for r in got.collect()) == links_by_hand(rows, 3, 80)
 
 
+def test_ngram_prefixes_go_before_sets_are_compared(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{k}" for k in range(60 - i % 3))) for i in range(12)]
+    kept, beside = tables_at(spark, monkeypatch, ngram_join, "ngram-tokens")
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), size=3, percent=80)
+    assert {r["component_id"] for r in got.collect()} == {0}
+    assert "ngram-members" in beside
+    assert not any("prefix" in kept[label][0] for label in beside & kept.keys())
+
+
 def test_ngram_components_inside_one_group(spark):
     """Two members of a group that are linked with each other, and not with the group's first member."""
     rows = []
